@@ -66,7 +66,7 @@ def detect(text: str) -> list[Span]:
         out += [(a, 0, b) for a, b in _emails(text)]
     if "." in text:
         for m in _IP.finditer(text):
-            if all(len(p := p.lstrip("0")) <= 3 and int(p or 0) <= 255 for p in m[0].split(".")):
+            if all(len(n := p.lstrip("0")) <= 3 and int(n or 0) <= 255 for p in m[0].split(".")):
                 out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 14:
