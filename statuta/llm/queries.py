@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality, secrets
+from . import licenses, pii, quality, secrets
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.detect(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op10_secret_scan": op10_secret_scan,
 }
