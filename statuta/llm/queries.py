@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, pii, quality, secrets
+from . import bpe, licenses, pii, quality, secrets
 from .common import table
 
 
+def tokenizer_ranks(path: str | None = None) -> tuple[list[bytes], str]:
+    """The rank file (read on the driver, shipped with the tasks: about 1 MB) and its pattern."""
+    import public_tokenizers as public
+
+    return bpe.read_ranks(path or public.path("byte_bpe_50k.tiktoken")), public.PATTERN
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab, pattern = tokenizer_ranks()
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocab, pattern)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.detect(table(spark, sf_dir, "documents"))
 
@@ -28,6 +40,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op3_bpe": op3_bpe,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op10_secret_scan": op10_secret_scan,
