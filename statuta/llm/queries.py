@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, pii, quality, secrets
+from . import bpe, licenses, pii, quality, records, secrets
 from .common import table
 
 
@@ -34,6 +34,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    with open(public.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return records.round_trip(table(spark, sf_dir, "documents"), f.read(), public.PATTERN)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
@@ -43,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
+    "op9_token_records": op9_token_records,
     "op10_secret_scan": op10_secret_scan,
 }
 
