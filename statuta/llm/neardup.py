@@ -199,19 +199,21 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
     signs = stage(signed(owner, width).filter("n > 0"), "signs")
 
     buckets = signs.select("doc_id", F.explode("bands").alias("bucket"))
-    many = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    # Sums by bucket are written first: a join of two plain exchanges is one that a hot bucket's rows can be split in.
+    many = stage(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
     shared = stage(buckets.join(many, "bucket"), "buckets")
-    weight = shared.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    weight = stage(shared.groupBy("doc_id").agg(F.sum("size").alias("weight")), "weights")
     weighed = shared.select("doc_id", "bucket").join(weight, "doc_id")
-    centre = weighed.groupBy("bucket").agg(F.min_by("doc_id", F.struct(-F.col("weight"), F.col("doc_id"))).alias("centre"))
+    centre = stage(weighed.groupBy("bucket").agg(F.min_by("doc_id", F.struct(-F.col("weight"), F.col("doc_id"))).alias("centre")), "centres")
     near = shared.select("doc_id", "bucket").join(centre, "bucket").filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+    near = stage(near, "near")
     links = stage(confirm(screened(near, signs, percent), owner, width, percent), "links")
     known = components(links)
 
     # What shares a bucket with others of another component.
     placed = shared.select("doc_id", "bucket").join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
+    main = stage(sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1"), "mains")
     mixed = stage(placed.join(main.select("bucket", "main"), "bucket"), "mixed")
     rest = mixed.filter("root <> main").select(F.col("doc_id").alias("a"), "bucket", F.col("root").alias("root_a"), "main")
     others = mixed.select(F.col("doc_id").alias("b"), "bucket", F.col("root").alias("root_b"))
@@ -224,7 +226,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
         links = links.unionByName(confirm(left, owner, width, percent))
         known = components(links)
 
-    member = first.join(known.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component"))
+    member = stage(first.join(known.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component")), "members")
     out = every.join(member, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -240,3 +242,21 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     """The documents without those linked to one of a smaller id, columns unchanged."""
     gone = classes(docs, width, percent, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
     return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * both_ >= 85 * (x.n + y.n - both_)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, CASE WHEN l.a = r.other THEN l.b ELSE l.a END FROM reach r JOIN links l ON l.a = r.other OR l.b = r.other),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN comp USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, pii, quality, records, secrets
+from . import bpe, licenses, neardup, pii, quality, records, secrets
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -50,8 +54,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_token_records": op9_token_records,
     "op10_secret_scan": op10_secret_scan,
 }
 
-SQL: dict[str, str] = {"op6_quality_rules": quality.SQL}
+SQL: dict[str, str] = {"op6_quality_rules": quality.SQL, "op8_near_duplicates": neardup.SQL}
