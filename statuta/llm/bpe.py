@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 LONG = 64
 #: Bounds of what a worker holds: characters in a block, words in its memory of earlier ones.
 BLOCK_CHARS = 2_000_000
-MEMORY_WORDS = 500_000
+MEMORY_WORDS = 400_000
 
 #: Row k = word * 4096 + index of the token in the word, kept dense, so a token's right neighbour is row k + 1.
 ENCODE = """
@@ -73,6 +73,22 @@ def cutter(pattern: str):
     return lambda text: quick(text) if _PLAIN.fullmatch(text) else every(text)
 
 
+class Memory:
+    """Words and their ids: at most two generations of ``limit``; what is still used moves to the young one."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, words: set[str]) -> list[str]:
+        """Those that are known nowhere; the others are in ``young`` from now until the next call."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        words = words.difference(self.young)
+        again = words & self.old.keys()
+        self.young.update((w, self.old[w]) for w in again)
+        return list(words - again)
+
+
 class Codec:
     """One vocabulary in one worker: an in-memory database with its merge table."""
 
@@ -80,7 +96,7 @@ class Codec:
         import duckdb
 
         self.vocab, self.ranks, self.cut = vocab, {t: i for i, t in enumerate(vocab)}, cutter(pattern)
-        self.memory: dict[str, bytes] = {}
+        self.memory = Memory(MEMORY_WORDS)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         left, right, made = [], [], []
         for i, t in enumerate(vocab):
@@ -135,23 +151,21 @@ class Codec:
                     heapq.heappush(heap, (q, k, ids[k], ids[nxt[k]]))
         return np.array([x for x, ok in zip(ids, live, strict=True) if ok], "<u4").tobytes()
 
-    def learn(self, words: Iterable[str]) -> None:
-        if len(self.memory) > MEMORY_WORDS:
-            self.memory.clear()
-        new = [w for w in set(words) if w not in self.memory]
+    def learn(self, words: set[str]) -> None:
+        new = self.memory.missing(words)
         coded = [w.encode("utf-8") for w in new]
         short = [i for i, b in enumerate(coded) if len(b) <= LONG]
         for i, b in enumerate(coded):
             if len(b) > LONG:
-                self.memory[new[i]] = self.contract_long(b)
+                self.memory.young[new[i]] = self.contract_long(b)
         if short:
             for i, ids in zip(short, self.contract([coded[i] for i in short]), strict=True):
-                self.memory[new[i]] = ids
+                self.memory.young[new[i]] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [self.cut(t) for t in texts]
         self.learn({w for ws in words for w in ws})
-        get = self.memory.__getitem__
+        get = self.memory.young.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
