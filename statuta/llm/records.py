@@ -3,21 +3,22 @@
 Documents are dealt into ranges of ascending doc_id. Each range becomes a shard of two files in the shared folder:
 
 * ``shard-NNNNN.rec``: per record the payload's length (u64), the masked checksum of these 8 bytes (u32), the payload, and its
-  masked checksum (u32); little-endian. The payload is the doc_id (i64) and the ids (u32 each), the end id last. The
-  checksum is CRC-32 masked by a rotation of 15 bits and a constant, so that a checksum of data holding checksums stays sound.
+  masked checksum (u32); little-endian. The payload is the doc_id (i64), the width of an id in bytes (u8: 2 if the whole
+  vocabulary fits, else 4) and the ids, the end id last. The checksum is CRC-32 masked by a rotation of 15 bits and a constant, so that a checksum of data holding checksums stays sound.
 * ``shard-NNNNN.idx``: per record its offset in the .rec file (u64) and its number of ids (u64); record i is found at i * 16.
 
 A task writes under a name of its own attempt and renames at the end, so a lost or repeated task leaves no half shard. The
 token count of each shard (a row per shard) goes to the driver to give each shard its first position.
 
 Nulls count as empty texts: their record is the end id alone. Repeated ids stay repeated, in an order of their texts. An empty
-table has no shards. Other columns are ignored.
+table has no shards. A row without a doc_id has no place in the order and is left out. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import blocks, cutter
+from .bpe import Memory, blocks, cutter
 from .common import scratch
 
 MASK = 0xA282EAD8
+RECORD = struct.Struct("<qB")
 END_ID = 2
 HEAD = struct.Struct("<QI")
 MEMORY_WORDS = 500_000
@@ -55,18 +57,18 @@ class Words:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cut, self.memory = cutter(pattern), {}
+        self.cut, self.memory = cutter(pattern), Memory(MEMORY_WORDS)
+        self.kind = "H" if self.tokenizer.get_vocab_size() < 1 << 16 else "I"
+        self.width = array(self.kind).itemsize
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [self.cut(t) for t in texts]
-        if len(self.memory) > MEMORY_WORDS:
-            self.memory.clear()
-        new = list({w for ws in words for w in ws}.difference(self.memory))
+        new = self.memory.missing({w for ws in words for w in ws})
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.memory.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in coded), strict=True))
-        get = self.memory.__getitem__
+            self.memory.young.update((w, array(self.kind, e.ids).tobytes()) for w, e in zip(part, coded, strict=True))
+        get = self.memory.young.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
 
@@ -89,8 +91,6 @@ def _store(path: str):
 
 def write(docs: DataFrame, path: str, tokenizer_json: str, pattern: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, int, int]]:
     """Write all shards under ``path``; returns (shard, records, ids) of each, in ascending order of doc_id."""
-    end = struct.pack("<I", end_id)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -100,15 +100,16 @@ def write(docs: DataFrame, path: str, tokenizer_json: str, pattern: str, end_id:
         if first is None:
             return
         own, (store, base) = words(tokenizer_json, pattern), _store(path)
+        end = array(own.kind, [end_id]).tobytes()
         name, at, n, total = f"{base}/shard-{shard:05d}", 0, 0, 0
         with store.open_output_stream(f"{name}.rec{tag}") as rec, store.open_output_stream(f"{name}.idx{tag}") as idx:
             block = first
             while block:
                 for doc, ids in zip(block[0], own.encode(block[1]), strict=True):
-                    data = frame(struct.pack("<q", doc) + ids + end)
+                    data, size = frame(packed(doc, own.width, ids + end)), len(ids) // own.width + 1
                     rec.write(data)
-                    idx.write(struct.pack("<QQ", at, len(ids) // 4 + 1))
-                    at, n, total = at + len(data), n + 1, total + len(ids) // 4 + 1
+                    idx.write(struct.pack("<QQ", at, size))
+                    at, n, total = at + len(data), n + 1, total + size
                 block = next(blocks_, None)
         for kind in ("rec", "idx"):
             store.move(f"{name}.{kind}{tag}", f"{name}.{kind}")
@@ -139,6 +140,16 @@ def scan(stream) -> Iterator[bytes]:
         yield body[:size]
 
 
+def packed(doc: int, width: int, ids: bytes) -> bytes:
+    return RECORD.pack(doc, width) + ids
+
+
+def parsed(payload: bytes) -> tuple[int, np.ndarray]:
+    """(doc_id, ids as 32-bit integers)."""
+    doc, width = RECORD.unpack_from(payload)
+    return doc, np.frombuffer(payload, f"<u{width}", offset=RECORD.size).astype("<u4")
+
+
 def read_at(path: str, shard: int, record: int) -> tuple[int, list[int]]:
     """(doc_id, ids) of one record, by the index: two seeks, whatever the shard's size."""
     store, base = _store(path)
@@ -146,8 +157,8 @@ def read_at(path: str, shard: int, record: int) -> tuple[int, list[int]]:
         idx.seek(record * 16)
         offset, _ = struct.unpack("<QQ", idx.read(16))
         rec.seek(offset)
-        payload = next(scan(rec))
-    return struct.unpack("<q", payload[:8])[0], np.frombuffer(payload, "<u4", offset=8).tolist()
+        doc, ids = parsed(next(scan(rec)))
+    return doc, ids.tolist()
 
 
 def read(spark: SparkSession, path: str, shards: list[tuple[int, int, int]], with_ids: bool = False) -> DataFrame:
@@ -167,9 +178,9 @@ def read(spark: SparkSession, path: str, shards: list[tuple[int, int, int]], wit
                 rows = []
                 with store.open_input_stream(f"{base}/shard-{shard:05d}.rec", buffer_size=1 << 20) as stream:
                     for payload in scan(stream):
-                        ids = payload[8:]
-                        rows.append((struct.unpack("<q", payload[:8])[0], at, len(ids) // 4, zlib.crc32(ids), ids)[: len(types)])
-                        at += len(ids) // 4
+                        doc, ids = parsed(payload)
+                        rows.append((doc, at, len(ids), zlib.crc32(ids), ids.tobytes() if with_ids else None)[: len(types)])
+                        at += len(ids)
                         if len(rows) >= 2000:
                             yield pack(rows)
                             rows = []
