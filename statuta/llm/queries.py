@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, neardup, pii, quality, records, secrets
+from . import bpe, decontaminate, licenses, neardup, pii, quality, records, secrets, toxicity
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_records": op9_token_records,
     "op10_secret_scan": op10_secret_scan,
