@@ -5,16 +5,15 @@ hashes; one with fewer words has its whole sequence as its only shingle. Two doc
 ``percent`` * union of their sets.
 
 1. Documents with equal sets form a class (a set of any size has a 128-bit key); only one of each class goes on.
-2. ``BANDS`` x ``ROWS`` MinHash values give the band keys of a class, and fold into an odd sketch: a bitmap in which each
-   (place, value) flips one bit, so that the population count of two sketches' XOR tells how many values differ.
+2. ``VALUES`` MinHash values give the band keys of a class, and fold into an odd sketch: a bitmap in which each (place, value)
+   flips one bit, so that the population count of two sketches' XOR tells how many values differ.
 3. In each band bucket the class that meets most others in its buckets is the centre. Classes are compared with the centres of their
    buckets, a linear number of pairs; sketches screen them, full sets decide, and linked ones are united.
 4. Classes that share a bucket but no component yet, other than those of the bucket's main component among themselves, are
    then compared too, again by sketch and full set. So each pair of classes that shares a bucket is either compared or known
    to be connected, and no bucket is capped.
 
-At a similarity of 0.85 two classes share no band with a chance below 1e-8 (0.8: 1e-5), and the sketch screens at five
-standard deviations. Components come from repeated contraction of links to smaller ids, all in DataFrames.
+Two classes at the threshold share no band with a chance below 1e-5, and the sketch screens at five standard deviations. Components come from repeated contraction of links to smaller ids, all in DataFrames.
 
 Nulls, empty texts and texts without words have empty sets, are linked with nothing and stay. Repeated rows fall in one class;
 rows that also repeat a doc_id each come back. Rows whose doc_id is null come back unlinked. Other columns are ignored.
@@ -33,8 +32,8 @@ from pyspark.sql import functions as F
 from .common import stage
 
 WIDTH, PERCENT = 3, 85
-ROWS, BANDS = 5, 32
-SKETCH_LONGS = 8
+VALUES = 252
+SKETCH_LONGS = 16
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,7 +43,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_SEEDS = _mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * _GOLD) | np.uint64(1)
+_SEEDS = _mix(np.arange(1, VALUES + 1, dtype=np.uint64) * _GOLD) | np.uint64(1)
 
 
 def shingles(text: str, width: int = WIDTH) -> np.ndarray:
@@ -63,7 +62,7 @@ def shingles(text: str, width: int = WIDTH) -> np.ndarray:
 
 
 def minhash(values: np.ndarray) -> np.ndarray:
-    """The least value under each of ROWS * BANDS multiplicative orders."""
+    """The least value under each of VALUES multiplicative orders."""
     out = np.empty(len(_SEEDS), np.uint64)
     for i in range(0, len(_SEEDS), 8):
         part = values[None, :] * _SEEDS[i : i + 8, None]
@@ -80,12 +79,22 @@ def sketch(mins: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<u8")
 
 
+def rows_of(percent: int) -> int:
+    """MinHash values in a band: as many as leave a pair at the threshold unseen with a chance below 1e-5."""
+    j = percent / 100
+    return max((r for r in (2, 3, 4, 6, 7, 9, 12) if (1 - j**r) ** (VALUES // r) < 1e-5), default=1)
+
+
 def sketch_limit(percent: int) -> int:
-    """Most differing bits that a pair at the threshold may show, at five standard deviations."""
-    k, n, j = ROWS * BANDS, 64 * SKETCH_LONGS, percent / 100
-    differ = min(k, k * (1 - j) + 5 * (k * j * (1 - j)) ** 0.5)
-    expected = n / 2 * (1 - (1 - 2 / n) ** (2 * differ))
-    return int(expected + 3 * (n / 4) ** 0.5)
+    """Most differing bits that a pair at the threshold shows, at five standard deviations.
+
+    Of k values, k (1 - j) differ and flip two bits each; the bits vary with that number and with the flips that meet.
+    """
+    k, n, j = VALUES, 64 * SKETCH_LONGS, percent / 100
+    flips = 2 * k * (1 - j)
+    kept = np.exp(-2 * flips / n)
+    spread = (4 * k * j * (1 - j)) * kept**2 + max(0.0, n / 4 * (1 - kept**2) - flips * kept**2)
+    return int(np.ceil(n / 2 * (1 - kept) + 5 * spread**0.5))
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -111,8 +120,10 @@ def keyed(two: DataFrame, width: int) -> DataFrame:
     return two.mapInArrow(run, "doc_id long, n_shingles long, set_key binary")
 
 
-def signed(two: DataFrame, width: int) -> DataFrame:
+def signed(two: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, n, bands array<long>, sketch array<long>) of (doc_id, text)."""
+    per_band = rows_of(percent)
+    n_bands = VALUES // per_band
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,13 +131,13 @@ def signed(two: DataFrame, width: int) -> DataFrame:
             for text in batch.column(1):
                 s = shingles(text.as_py() or "", width)
                 m = minhash(s)
-                rows = m.reshape(BANDS, ROWS)
-                key = np.arange(BANDS, dtype=np.uint64)
-                for i in range(ROWS):
+                rows = m[: n_bands * per_band].reshape(n_bands, per_band)
+                key = np.arange(n_bands, dtype=np.uint64)
+                for i in range(per_band):
                     key = _mix(key * _GOLD + rows[:, i])
                 n.append(len(s)), bands.append(key), bitmaps.append(sketch(m))
             lists = lambda xs, k: pa.ListArray.from_arrays(pa.array(np.arange(len(xs) + 1) * k, pa.int32()), _signed(np.concatenate(xs) if xs else np.empty(0, np.uint64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), lists(bands, BANDS), lists(bitmaps, SKETCH_LONGS)], ["doc_id", "n", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), lists(bands, n_bands), lists(bitmaps, SKETCH_LONGS)], ["doc_id", "n", "bands", "sketch"])
 
     return two.mapInArrow(run, "doc_id long, n long, bands array<long>, sketch array<long>")
 
@@ -196,7 +207,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
     reps = first.select(F.col("rep").alias("doc_id"))
     # A repeated doc_id with other text would give one id several sets; those of one id are then linked through it.
     owner = two.join(reps, "doc_id", "left_semi")
-    signs = stage(signed(owner, width).filter("n > 0"), "signs")
+    signs = stage(signed(owner, width, percent).filter("n > 0"), "signs")
 
     buckets = signs.select("doc_id", F.explode("bands").alias("bucket"))
     # Sums by bucket are written first: a join of two plain exchanges is one that a hot bucket's rows can be split in.
