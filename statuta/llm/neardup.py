@@ -7,6 +7,7 @@ hashes; one with fewer words has its whole sequence as its only shingle. Two doc
 1. Documents with equal sets form a class (a set of any size has a 128-bit key); only one of each class goes on.
 2. ``VALUES`` MinHash values give the band keys of a class, and fold into an odd sketch: a bitmap in which each (place, value)
    flips one bit, so that the population count of two sketches' XOR tells how many values differ.
+   A second odd sketch, of the set itself, screens more finely.
 3. In each band bucket the class that meets most others in its buckets is the centre. Classes are compared with the centres of their
    buckets, a linear number of pairs; sketches screen them, full sets decide, and linked ones are united.
 4. Classes that share a bucket but no component yet, other than those of the bucket's main component among themselves, are
@@ -34,6 +35,7 @@ from .common import stage
 WIDTH, PERCENT = 3, 85
 VALUES = 252
 SKETCH_LONGS = 16
+PARITY_LONGS = 64
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,6 +81,12 @@ def sketch(mins: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<u8")
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """The odd sketch of the whole set: its XOR with another's counts the symmetric difference, but for bits that meet."""
+    odd = np.bincount((values >> np.uint64(20)).astype(np.int64) & (64 * PARITY_LONGS - 1), minlength=64 * PARITY_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<u8")
+
+
 def rows_of(percent: int) -> int:
     """MinHash values in a band: as many as leave a pair at the threshold unseen with a chance below 1e-5."""
     j = percent / 100
@@ -121,13 +129,13 @@ def keyed(two: DataFrame, width: int) -> DataFrame:
 
 
 def signed(two: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, bands array<long>, sketch array<long>) of (doc_id, text)."""
+    """(doc_id, n, bands array<long>, sketch array<long>, parity array<long>) of (doc_id, text)."""
     per_band = rows_of(percent)
     n_bands = VALUES // per_band
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, bands, bitmaps = [], [], []
+            n, bands, bitmaps, odd = [], [], [], []
             for text in batch.column(1):
                 s = shingles(text.as_py() or "", width)
                 m = minhash(s)
@@ -135,11 +143,11 @@ def signed(two: DataFrame, width: int, percent: int) -> DataFrame:
                 key = np.arange(n_bands, dtype=np.uint64)
                 for i in range(per_band):
                     key = _mix(key * _GOLD + rows[:, i])
-                n.append(len(s)), bands.append(key), bitmaps.append(sketch(m))
+                n.append(len(s)), bands.append(key), bitmaps.append(sketch(m)), odd.append(parity(s))
             lists = lambda xs, k: pa.ListArray.from_arrays(pa.array(np.arange(len(xs) + 1) * k, pa.int32()), _signed(np.concatenate(xs) if xs else np.empty(0, np.uint64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), lists(bands, n_bands), lists(bitmaps, SKETCH_LONGS)], ["doc_id", "n", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), lists(bands, n_bands), lists(bitmaps, SKETCH_LONGS), lists(odd, PARITY_LONGS)], ["doc_id", "n", "bands", "sketch", "parity"])
 
-    return two.mapInArrow(run, "doc_id long, n long, bands array<long>, sketch array<long>")
+    return two.mapInArrow(run, "doc_id long, n long, bands array<long>, sketch array<long>, parity array<long>")
 
 
 def sets_of(two: DataFrame, width: int) -> DataFrame:
@@ -161,9 +169,20 @@ def differing(a: str, b: str) -> Column:
     return total
 
 
-def may_link(n_a: str, n_b: str, sk_a: str, sk_b: str, percent: int) -> Column:
-    """Sizes and sketches allow a link."""
-    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (differing(sk_a, sk_b) <= sketch_limit(percent))
+def may_link(percent: int) -> Column:
+    """Sizes, MinHash sketches and set parities of sides a and b allow a link; each only rules out what is far from one."""
+    j, bits = percent / 100, 64 * PARITY_LONGS
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    # The largest symmetric difference that a link has, and the bits that it shows.
+    most = (F.col("n_a") + F.col("n_b")) * ((1 - j) / (1 + j))
+    kept = F.exp(-2 * most / bits)
+    shown = bits / 2 * (1 - kept) + 5 * F.sqrt(F.greatest(bits / 4 * (1 - kept * kept) - most * kept * kept, F.lit(1.0)))
+    differ = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda q, v: q + v)
+    return sizes & (differing("s_a", "s_b") <= sketch_limit(percent)) & (differ <= shown)
+
+
+def side(signs: DataFrame, c: str) -> DataFrame:
+    return signs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"), F.col("parity").alias(f"p_{c}"))
 
 
 def confirm(pairs: DataFrame, two: DataFrame, width: int, percent: int) -> DataFrame:
@@ -228,10 +247,9 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
     mixed = stage(placed.join(main.select("bucket", "main"), "bucket"), "mixed")
     rest = mixed.filter("root <> main").select(F.col("doc_id").alias("a"), "bucket", F.col("root").alias("root_a"), "main")
     others = mixed.select(F.col("doc_id").alias("b"), "bucket", F.col("root").alias("root_b"))
-    wide = rest.join(signs.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")), "a")
-    wide_b = others.join(signs.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b")), "b")
+    wide, wide_b = rest.join(side(signs, "a"), "a"), others.join(side(signs, "b"), "b")
     once = (F.col("root_b") == F.col("main")) | (F.col("root_a") < F.col("root_b"))
-    left = wide.join(wide_b, (wide["bucket"] == wide_b["bucket"]) & (F.col("root_a") != F.col("root_b")) & once & may_link("n_a", "n_b", "s_a", "s_b", percent)).select("a", "b").distinct()
+    left = wide.join(wide_b, (wide["bucket"] == wide_b["bucket"]) & (F.col("root_a") != F.col("root_b")) & once & may_link(percent)).select("a", "b").distinct()
     left = stage(left.join(near, (left["a"] == near["a"]) & (left["b"] == near["b"]), "left_anti"), "late")
     if not left.isEmpty():
         links = links.unionByName(confirm(left, owner, width, percent))
@@ -245,8 +263,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
 
 def screened(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and sketches let pass."""
-    side = lambda c: signs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(may_link("n_a", "n_b", "s_a", "s_b", percent)).select("a", "b")
+    return pairs.join(side(signs, "a"), "a").join(side(signs, "b"), "b").filter(may_link(percent)).select("a", "b")
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
