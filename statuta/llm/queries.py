@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, neardup, pii, quality, records, secrets, toxicity
+from . import bpe, decontaminate, licenses, neardup, pii, quality, quotes, records, secrets, toxicity
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab, pattern = tokenizer_ranks()
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocab, pattern)
@@ -59,6 +63,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_quotation_links": op2_quotation_links,
     "op3_bpe": op3_bpe,
     "op4_decontamination": op4_decontamination,
     "op5_license_scan": op5_license_scan,
