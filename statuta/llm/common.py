@@ -42,6 +42,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Ids that a broadcast may hold: some 40 MB as a hash table.
+MOST_IDS = 1_000_000
+
+
+def by_ids(df: DataFrame, key: Column, ids: DataFrame, how: str) -> DataFrame:
+    """A semi or anti join of wide rows on ``ids`` (one column ``id``, written already): the ids are counted, and sent to the
+    tasks if they are few; beyond MOST_IDS both sides are shuffled."""
+    small = F.broadcast(ids) if ids.limit(MOST_IDS + 1).count() <= MOST_IDS else ids
+    return df.join(small, key == small["id"], how)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder through the file system that holds it."""
     jvm = spark.sparkContext._jvm

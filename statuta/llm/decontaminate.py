@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import by_ids, stage
+
 SEED = 2
 #: Different seeds of an item that must meet in a window.
 SEEDS_TOGETHER = 2
@@ -216,5 +218,5 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
 
 def keep_clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no benchmark item, columns unchanged."""
-    gone = contaminated(docs, bench, id_col, text_col).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    gone = stage(contaminated(docs, bench, id_col, text_col).select(F.col("doc_id").alias("id")).distinct(), "contaminated")
+    return by_ids(docs, docs[id_col].cast("long"), gone, "left_anti")

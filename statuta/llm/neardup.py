@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import by_ids, stage
 
 WIDTH, PERCENT = 3, 85
 VALUES = 252
@@ -105,49 +105,36 @@ def sketch_limit(percent: int) -> int:
     return int(np.ceil(n / 2 * (1 - kept) + 5 * spread**0.5))
 
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
 def _as(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def keyed(two: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key) of (doc_id, text); the key is null for an empty set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, keys = [], []
-            for text in batch.column(1):
-                s = shingles(text.as_py() or "", width)
-                sizes.append(len(s))
-                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "set_key"])
-
-    return two.mapInArrow(run, "doc_id long, n_shingles long, set_key binary")
-
-
 def signed(two: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, bands array<long>, sketch array<long>, parity array<long>) of (doc_id, text)."""
+    """(doc_id, n, set_key, bands array<long>, sketch array<long>, parity array<long>) of (doc_id, text); the key of an empty set is null."""
     per_band = rows_of(percent)
     n_bands = VALUES // per_band
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, bands, bitmaps, odd = [], [], [], []
+            n, keys, bands, bitmaps, odd = [], [], [], [], []
             for text in batch.column(1):
                 s = shingles(text.as_py() or "", width)
+                n.append(len(s))
+                if not len(s):
+                    for column in (keys, bands, bitmaps, odd):
+                        column.append(None)
+                    continue
                 m = minhash(s)
                 rows = m[: n_bands * per_band].reshape(n_bands, per_band)
                 key = np.arange(n_bands, dtype=np.uint64)
                 for i in range(per_band):
                     key = _mix(key * _GOLD + rows[:, i])
-                n.append(len(s)), bands.append(key), bitmaps.append(sketch(m)), odd.append(parity(s))
-            lists = lambda xs, k: pa.ListArray.from_arrays(pa.array(np.arange(len(xs) + 1) * k, pa.int32()), _signed(np.concatenate(xs) if xs else np.empty(0, np.uint64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), lists(bands, n_bands), lists(bitmaps, SKETCH_LONGS), lists(odd, PARITY_LONGS)], ["doc_id", "n", "bands", "sketch", "parity"])
+                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                bands.append(key.view(np.int64)), bitmaps.append(sketch(m).view(np.int64)), odd.append(parity(s).view(np.int64))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (bands, bitmaps, odd)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *lists], ["doc_id", "n", "set_key", "bands", "sketch", "parity"])
 
-    return two.mapInArrow(run, "doc_id long, n long, bands array<long>, sketch array<long>, parity array<long>")
+    return two.mapInArrow(run, "doc_id long, n long, set_key binary, bands array<long>, sketch array<long>, parity array<long>")
 
 
 def sets_of(two: DataFrame, width: int) -> DataFrame:
@@ -187,8 +174,8 @@ def side(signs: DataFrame, c: str) -> DataFrame:
 
 def confirm(pairs: DataFrame, two: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets pass; only texts in pairs are read again."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = sets_of(two.join(ids, "doc_id", "left_semi"), width)
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    sets = sets_of(by_ids(two, two["doc_id"], ids, "left_semi"), width)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(common * 100 >= (F.size("x") + F.size("y") - common) * percent).select("a", "b")
@@ -221,12 +208,10 @@ def components(links: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, kept."""
     two = _as(docs, id_col, text_col)
-    every = stage(keyed(two, width), "keys")
+    every = stage(signed(two, width, percent), "signs")
     first = stage(every.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = first.select(F.col("rep").alias("doc_id"))
-    # A repeated doc_id with other text would give one id several sets; those of one id are then linked through it.
-    owner = two.join(reps, "doc_id", "left_semi")
-    signs = stage(signed(owner, width, percent).filter("n > 0"), "signs")
+    # A doc_id that is repeated with another text has several sets; each may represent a class.
+    signs = stage(every.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").drop("set_key"), "representatives")
 
     buckets = signs.select("doc_id", F.explode("bands").alias("bucket"))
     # Sums by bucket are written first: a join of two plain exchanges is one that a hot bucket's rows can be split in.
@@ -237,7 +222,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
     centre = stage(weighed.groupBy("bucket").agg(F.min_by("doc_id", F.struct(-F.col("weight"), F.col("doc_id"))).alias("centre")), "centres")
     near = shared.select("doc_id", "bucket").join(centre, "bucket").filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
     near = stage(near, "near")
-    links = stage(confirm(screened(near, signs, percent), owner, width, percent), "links")
+    links = stage(confirm(stage(screened(near, signs, percent), "screened"), two, width, percent), "links")
     known = components(links)
 
     # What shares a bucket with others of another component.
@@ -252,11 +237,11 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
     left = wide.join(wide_b, (wide["bucket"] == wide_b["bucket"]) & (F.col("root_a") != F.col("root_b")) & once & may_link(percent)).select("a", "b").distinct()
     left = stage(left.join(near, (left["a"] == near["a"]) & (left["b"] == near["b"]), "left_anti"), "late")
     if not left.isEmpty():
-        links = links.unionByName(confirm(left, owner, width, percent))
+        links = stage(links.unionByName(confirm(left, two, width, percent)), "links")
         known = components(links)
 
     member = stage(first.join(known.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component")), "members")
-    out = every.join(member, "set_key", "left")
+    out = every.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(member, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
@@ -268,8 +253,8 @@ def screened(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without those linked to one of a smaller id, columns unchanged."""
-    gone = classes(docs, width, percent, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    gone = stage(classes(docs, width, percent, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("id")).distinct(), "copies")
+    return by_ids(docs, docs[id_col].cast("long"), gone, "left_anti")
 
 
 SQL = r"""
