@@ -82,7 +82,8 @@ def header(text: Column) -> Column:
 def stated_date(text: Column) -> Column:
     """The first existing date that a cue before it or "onwards" after it ties to commencement."""
     cue = "|".join(rf"(?<={c}[\s\S]{{0,{CUE_REACH - len(c)}}})" for c in CUES)
-    pattern = F.lit(rf"(?U)(?:{cue}|(?={STATED}{ONWARDS})){STATED}")
+    # The date itself is looked for first: the cues behind it are costly to try at every place.
+    pattern = F.lit(rf"(?U)(?=ตั้งแต่วันที่)(?:{cue}|(?={STATED}{ONWARDS})){STATED}")
 
     def read(t: Column) -> Column:
         # The lookahead holds three groups of its own; those of the match follow.

@@ -30,7 +30,7 @@ _NOT_NEGATED = "".join(rf"(?<!{n}[\s\S]{{0,{reach - len(n)}}})" for words, reach
 
 def found(text: Column, phrases: list[str]) -> Column:
     """Phrases with a place that no negation precedes, in the list's order. A phrase is looked for before the costly pattern."""
-    hits = [F.when(F.contains(text, F.lit(p)), F.when(text.rlike(_NOT_NEGATED + p), F.lit(p))) for p in phrases]
+    hits = [F.when(F.contains(text, F.lit(p)), F.when(text.rlike(f"(?={p}){_NOT_NEGATED}"), F.lit(p))) for p in phrases]
     return F.array_compact(F.array(*hits))
 
 
