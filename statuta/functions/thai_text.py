@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .matching import strip
 
@@ -31,7 +32,7 @@ LEADING_VOWELS = "เแโใไ"
 TRUE_AM = ""
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFC")
 

@@ -16,7 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-T = F.col("text")
+
+def T():
+    return F.col("text")
+
 #: White space as the reference engine's patterns read it, for DuckDB.
 WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 STRIP = rf"^{WS}+|{WS}+$"
@@ -45,43 +48,43 @@ def _corpus(columns: str) -> str:
 
 @query(_corpus("doc_id, t_volume AS volume, t_issue AS issue, 'ตอนที่' AS issue_kind, CAST(t_published AS STRING) AS published, t_page AS page"))
 def header_parse(spark, sf_dir):
-    h = corpus.documents(spark, sf_dir).select("doc_id", gazette.header(T).alias("h"))
+    h = corpus.documents(spark, sf_dir).select("doc_id", gazette.header(T()).alias("h"))
     return h.select("doc_id", "h.volume", "h.issue", "h.issue_kind", F.col("h.publish_date").cast("string").alias("published"), "h.page")
 
 
 @query(_corpus("doc_id, CAST(t_effective AS STRING) AS effective, t_effective_cell AS cell"))
 def effective_date(spark, sf_dir):
-    d = corpus.documents(spark, sf_dir).select("doc_id", gazette.effective_date(T, gazette.header(T)["publish_date"]).alias("e"))
+    d = corpus.documents(spark, sf_dir).select("doc_id", gazette.effective_date(T(), gazette.header(T())["publish_date"]).alias("e"))
     return d.select("doc_id", F.col("e").cast("string").alias("effective"), cells.thai_date(F.col("e")).alias("cell"))
 
 
 @query(_corpus("doc_id, clause = 0 AS silent, clause IN (6, 7) AS own_start, CAST(CASE WHEN clause IN (6, 7) THEN t_effective END AS STRING) AS stated, CAST(CASE WHEN clause BETWEEN 1 AND 5 THEN t_effective END AS STRING) AS derived"))
 def date_clauses(spark, sf_dir):
     d = corpus.documents(spark, sf_dir)
-    silent = gazette.commences_on_publication(T) & gazette.stated_date(T).isNull()
-    return d.select("doc_id", silent.alias("silent"), gazette.states_own_start(T).alias("own_start"), gazette.stated_date(T).cast("string").alias("stated"), gazette.derived_date(T, F.col("t_published")).cast("string").alias("derived"))
+    silent = gazette.commences_on_publication(T()) & gazette.stated_date(T()).isNull()
+    return d.select("doc_id", silent.alias("silent"), gazette.states_own_start(T()).alias("own_start"), gazette.stated_date(T()).cast("string").alias("stated"), gazette.derived_date(T(), F.col("t_published")).cast("string").alias("derived"))
 
 
 @query(_corpus("doc_id, t_kind AS kind, kind >= 10 AS narrative"))
 def kind(spark, sf_dir):
-    d = corpus.documents(spark, sf_dir).select("doc_id", gazette.kind(T).alias("kind"))
+    d = corpus.documents(spark, sf_dir).select("doc_id", gazette.kind(T()).alias("kind"))
     return d.select("doc_id", "kind", gazette.narrative(F.col("kind")).alias("narrative"))
 
 
 @query(_corpus("doc_id, t_audience AS audience"))
 def audience(spark, sf_dir):
-    return corpus.documents(spark, sf_dir).select("doc_id", gazette.audience(T).alias("audience"))
+    return corpus.documents(spark, sf_dir).select("doc_id", gazette.audience(T()).alias("audience"))
 
 
 @query(_corpus("doc_id, t_codes AS own, t_dead AS dead"))
 def category_signals(spark, sf_dir):
     d = corpus.documents(spark, sf_dir)
-    return d.select("doc_id", F.array_join(gazette.signal_codes(T), ",").alias("own"), F.array_join(gazette.suppressed_codes(T), ",").alias("dead"))
+    return d.select("doc_id", F.array_join(gazette.signal_codes(T()), ",").alias("own"), F.array_join(gazette.suppressed_codes(T()), ",").alias("dead"))
 
 
 @query(_corpus("doc_id, CASE WHEN t_dead <> '' THEN 'CC1,CC1' ELSE 'CC1,CC4,CC1' END AS core, concat(CASE WHEN t_dead <> '' THEN 'CC9' ELSE 'CC17,CC9' END, CASE WHEN t_codes <> '' THEN ',CC29' ELSE '' END) AS support"))
 def code_correct(spark, sf_dir):
-    fixed = gazette.correct_codes(T, F.array(*map(F.lit, ["CC1", "CC4", "CC1"])), F.array(*map(F.lit, ["CC17", "CC9"])))
+    fixed = gazette.correct_codes(T(), F.array(*map(F.lit, ["CC1", "CC4", "CC1"])), F.array(*map(F.lit, ["CC17", "CC9"])))
     d = corpus.documents(spark, sf_dir).select("doc_id", fixed.alias("c"))
     return d.select("doc_id", F.array_join("c.core", ",").alias("core"), F.array_join("c.support", ",").alias("support"))
 
@@ -91,7 +94,7 @@ def code_correct(spark, sf_dir):
 
 @query(_corpus("doc_id, t_band AS band, t_matched AS matched"))
 def penalty_band(spark, sf_dir):
-    d = corpus.documents(spark, sf_dir).select("doc_id", penalties.read(T, gazette.kind(T)).alias("p"))
+    d = corpus.documents(spark, sf_dir).select("doc_id", penalties.read(T(), gazette.kind(T())).alias("p"))
     return d.select("doc_id", "p.band", F.array_join("p.matched", ",").alias("matched"))
 
 
@@ -106,13 +109,13 @@ def penalty_chapter(spark, sf_dir):
 
 @query(_corpus("doc_id, CASE WHEN t_band IN ('RED', 'ORANGE', 'YELLOW', 'BLUE') THEN CASE t_band WHEN 'RED' THEN '🔴 แดง' WHEN 'ORANGE' THEN '🟠 ส้ม' WHEN 'YELLOW' THEN '🟡 เหลือง' ELSE '🔵 ฟ้า' END ELSE '⚪️ เทา' END AS risk, CASE t_band WHEN 'RED' THEN 'มีโทษทางอาญา จำคุกหรือปรับ' WHEN 'ORANGE' THEN 'โทษทางปกครอง แพ่ง หรือพินัย' WHEN 'YELLOW' THEN 'เสียสิทธิประโยชน์ / ผลทางนิติกรรม' WHEN 'BLUE' THEN 'ระเบียบภาครัฐ' ELSE '-' END AS penalty"))
 def risk_cells(spark, sf_dir):
-    d = corpus.documents(spark, sf_dir).select("doc_id", penalties.read(T, gazette.kind(T))["band"].alias("band"))
+    d = corpus.documents(spark, sf_dir).select("doc_id", penalties.read(T(), gazette.kind(T()))["band"].alias("band"))
     return d.select("doc_id", penalties.risk_label(F.col("band")).alias("risk"), penalties.penalty_text(F.col("band")).alias("penalty"))
 
 
 @query(_corpus("doc_id, t_province AS province, t_district AS district"))
 def place_scope(spark, sf_dir):
-    d = corpus.documents(spark, sf_dir).select("doc_id", places.scope(T, gazette.narrative(gazette.kind(T))).alias("p"))
+    d = corpus.documents(spark, sf_dir).select("doc_id", places.scope(T(), gazette.narrative(gazette.kind(T()))).alias("p"))
     return d.select("doc_id", places.province_cell(F.col("p")).alias("province"), places.district_cell(F.col("p")).alias("district"))
 
 
@@ -170,12 +173,12 @@ def unit_schemes(spark, sf_dir):
 
 @query(f"SELECT doc_id, expected AS text FROM ({DAMAGED}) AS d")
 def normalize_damaged(spark, sf_dir):
-    return build(spark, sf_dir, DAMAGED).select("doc_id", thai_text.normalize(T).alias("text"))
+    return build(spark, sf_dir, DAMAGED).select("doc_id", thai_text.normalize(T()).alias("text"))
 
 
 @query(_corpus("doc_id, translate(text, '๐๑๒๓๔๕๖๗๘๙', '0123456789') AS arabic, translate(text, '0123456789', '๐๑๒๓๔๕๖๗๘๙') AS thai"))
 def digits(spark, sf_dir):
-    return corpus.documents(spark, sf_dir).select("doc_id", thai_text.arabic_digits(T).alias("arabic"), thai_text.thai_digits(T).alias("thai"))
+    return corpus.documents(spark, sf_dir).select("doc_id", thai_text.arabic_digits(T()).alias("arabic"), thai_text.thai_digits(T()).alias("thai"))
 
 
 @query("SELECT o_orderkey AS doc_id, CASE o_orderkey % 4 WHEN 0 THEN 'มาตรา น้ำ ท้าย กำหนด' WHEN 1 THEN 'ก้ำหนด' WHEN 2 THEN 'อำเภอ ต้ำบล' ELSE 'พระราชบัญญัติ ข้าง' END AS text, o_orderkey % 4 IN (0, 3) AS faulty FROM orders")
@@ -191,12 +194,12 @@ _COLLAPSED = rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(text
 @query(rf"SELECT doc_id, {_COLLAPSED} AS kept, regexp_replace(regexp_replace(replace(regexp_replace(text, '[ \t\x{{a0}}\x{{2000}}-\x{{200a}}]+', ' ', 'g'), chr(10), ' '), '[ \t\x{{a0}}\x{{2000}}-\x{{200a}}]+', ' ', 'g'), '{STRIP}', '', 'g') AS flat, regexp_replace(text, '{WS}+([,.;:!?)\]}}])', '\1', 'g') AS tight FROM documents")
 def whitespace(spark, sf_dir):
     d = _table(spark, sf_dir, "documents")
-    return d.select("doc_id", thai_text.collapse_whitespace(T).alias("kept"), thai_text.collapse_whitespace(T, False).alias("flat"), thai_text.tight_punctuation(T).alias("tight"))
+    return d.select("doc_id", thai_text.collapse_whitespace(T()).alias("kept"), thai_text.collapse_whitespace(T(), False).alias("flat"), thai_text.tight_punctuation(T()).alias("tight"))
 
 
 @query(rf"""SELECT doc_id, regexp_replace(regexp_replace(lower(regexp_replace({_COLLAPSED.replace('text,', 'nfc_normalize(text),')}, '{WS}+([,.;:!?)\]}}])', '\1', 'g')), '[\s๏๚๛]+', '', 'g'), '[^\pL\pN_฀-๿]', '', 'g') AS key FROM documents""")
 def match_key(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", thai_text.match_key(T).alias("key"))
+    return _table(spark, sf_dir, "documents").select("doc_id", thai_text.match_key(T()).alias("key"))
 
 
 @query("WITH k AS (SELECT o_orderpriority AS p, o_custkey AS c, o_orderkey FROM orders) SELECT lower(regexp_replace(p, '[^\\pL\\pN]', '', 'g')) || CAST(c AS STRING) AS key, count(*) AS n, min(o_orderkey) AS first FROM k GROUP BY 1 HAVING count(*) > 1")
@@ -207,9 +210,9 @@ def duplicate_keys(spark, sf_dir):
     return d.groupBy("key").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first")).filter("n > 1")
 
 
-@query(_corpus(rf"doc_id, CASE WHEN length(regexp_replace(text, '{WS}', '', 'g')) = 0 THEN 0.0 ELSE round((length(regexp_replace(text, '{WS}', '', 'g')) - length(regexp_replace(regexp_replace(text, '{WS}', '', 'g'), '[\x{{e00}}-\x{{e7f}}]', '', 'g'))) * 1.0 / length(regexp_replace(text, '{WS}', '', 'g')), 6) END AS ratio"))
+@query(_corpus(rf"doc_id, CASE WHEN length(regexp_replace(text, '{WS}', '', 'g')) = 0 THEN 0.0 ELSE round(CAST(length(regexp_replace(text, '{WS}', '', 'g')) - length(regexp_replace(regexp_replace(text, '{WS}', '', 'g'), '[\x{{e00}}-\x{{e7f}}]', '', 'g')) AS DOUBLE) / length(regexp_replace(text, '{WS}', '', 'g')), 6) END AS ratio"))
 def thai_ratio(spark, sf_dir):
-    return corpus.documents(spark, sf_dir).select("doc_id", F.round(thai_text.thai_ratio(T), 6).alias("ratio"))
+    return corpus.documents(spark, sf_dir).select("doc_id", F.round(thai_text.thai_ratio(T()), 6).alias("ratio"))
 
 
 # ---- cells, budget, documents ---------------------------------------------------------------------------
@@ -241,13 +244,13 @@ def titles(spark, sf_dir):
 
 @query(_corpus("doc_id, t_reason AS reason"))
 def reason(spark, sf_dir):
-    return corpus.documents(spark, sf_dir).select("doc_id", budget.reason(T).alias("reason"))
+    return corpus.documents(spark, sf_dir).select("doc_id", budget.reason(T()).alias("reason"))
 
 
 @query(f"SELECT doc_id, CASE WHEN length(text) <= 5500 THEN text ELSE concat(left(text, 4000), '{budget.GAP}', right(text, 1500)) END AS text, left(text, 300) AS head FROM documents")
 def budget_fit(spark, sf_dir):
     d = _table(spark, sf_dir, "documents")
-    return d.select("doc_id", budget.fit(T, 4000, 1500).alias("text"), budget.fit(T, 300).alias("head"))
+    return d.select("doc_id", budget.fit(T(), 4000, 1500).alias("text"), budget.fit(T(), 300).alias("head"))
 
 
 @query(f"SELECT doc, string_agg(text, chr(10) || chr(10) ORDER BY page) AS text FROM ({PAGES}) AS p GROUP BY doc")
@@ -400,7 +403,7 @@ def compare_cells(spark, sf_dir):
     return scoring.compare(*_scored(spark, sf_dir))
 
 
-@query(f"""SELECT "column", exact, partial, wrong, both_blank, exact + partial + wrong AS scored, exact + 0.5 * partial AS credit FROM (SELECT "column", count(*) FILTER (verdict = 'exact') AS exact, count(*) FILTER (verdict = 'partial') AS partial, count(*) FILTER (verdict = 'wrong') AS wrong, count(*) FILTER (verdict = 'blank') AS both_blank FROM ({_CELLS}) AS c GROUP BY "column") AS t""")
+@query(f"""SELECT "column", exact, partial, wrong, both_blank, exact + partial + wrong AS scored, CAST(exact + 0.5 * partial AS DOUBLE) AS credit FROM (SELECT "column", count(*) FILTER (verdict = 'exact') AS exact, count(*) FILTER (verdict = 'partial') AS partial, count(*) FILTER (verdict = 'wrong') AS wrong, count(*) FILTER (verdict = 'blank') AS both_blank FROM ({_CELLS}) AS c GROUP BY "column") AS t""")
 def column_tally(spark, sf_dir):
     t = scoring.column_table(scoring.compare(*_scored(spark, sf_dir)))
     return t.select("column", "exact", "partial", "wrong", "both_blank", "scored", F.col("credit").cast("double").alias("credit"))
