@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds find candidate passages, Smith-Waterman alignment scores them.
 
 Texts are lower-cased and read as words between ASCII white space and punctuation. Every benchmark item's word 2-grams (the
-whole item if it is one word) are counted over all documents (each document once); an item's seeds are those no more frequent
-than its median one, so each item keeps its rarest half however common its text is. A document's hit on a seed opens a window of words about
+whole item if it is one word) are counted over all documents (each document once); an item's seeds are those that are rare
+among documents, and those no more frequent than its median one, so each item keeps its rarest half however common its text is. A document's hit on a seed opens a window of words about
 the item's place; overlapping windows of an item are one, and one in which two different seeds meet is aligned. Local alignment of words (match 2, mismatch -1, gap -1) gives
 a score, 1.0 for a whole verbatim copy. Reported are pairs that reach ``MIN_SCORE`` with ``MIN_WORDS`` matching words (or all of a shorter item).
 
@@ -28,6 +28,8 @@ from .common import by_ids, stage
 SEED = 2
 #: Different seeds of an item that must meet in a window.
 SEEDS_TOGETHER = 2
+#: An n-gram in this many documents, or this share of them, is rare whatever the rest of its item is.
+RARE_DOCS, RARE_SHARE = 16, 0.0005
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE, MIN_WORDS = 0.3, 6
 BLOCK_CHARS = 4_000_000
@@ -82,14 +84,15 @@ class Index:
         same = grams[i] == k
         return p[same], i[same]
 
-    def rare(self, counts: np.ndarray) -> Index:
-        """Keep each item's n-grams that are no more frequent than its median one."""
+    def rare(self, counts: np.ndarray, documents: int) -> Index:
+        """Keep each item's n-grams that few documents hold or that are no more frequent than its median one."""
+        few = max(RARE_DOCS, RARE_SHARE * documents)
         df = counts[np.searchsorted(self.grams, self.key)]
         keep = np.zeros(len(self.key), bool)
         order = np.argsort(self.item, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(self.item[order])) + 1):
             if len(part):
-                keep[part] = df[part] <= np.sort(df[part])[(len(part) - 1) // 2]
+                keep[part] = df[part] <= max(few, np.sort(df[part])[(len(part) - 1) // 2])
         self.key, self.item, self.at = self.key[keep], self.item[keep], self.at[keep]
         self.grams = np.unique(self.key)
         self.first = np.searchsorted(self.key, self.grams)
@@ -192,17 +195,20 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
         def count(batches: Iterator[pa.RecordBatch], every=every) -> Iterator[pa.RecordBatch]:
             own = every.value
             total = np.zeros(len(own.grams), np.int64)
+            documents = 0
             for batch in batches:
+                documents += batch.num_rows
                 for text in batch.column(0):
                     total[np.unique(own.hits(own.coded(text.as_py()), own.grams)[1])] += 1
             some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["gram", "n"])
+            # Place -1 counts the documents themselves.
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int64()), pa.array(np.append(total[some], documents), pa.int64())], ["gram", "n"])
 
         # At most a row per n-gram of the block.
-        df = np.zeros(len(index.grams), np.int64)
+        df = np.zeros(len(index.grams) + 1, np.int64)
         for r in two.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
             df[r["gram"]] = r["n"]
-        seeds = spark.sparkContext.broadcast(index.rare(df))
+        seeds = spark.sparkContext.broadcast(index.rare(df[:-1], int(df[-1])))
 
         def find(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             own = seeds.value

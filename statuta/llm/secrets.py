@@ -184,6 +184,6 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
         return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
 
     new = F.when(F.size(spans) > 0, cleaned(text)).otherwise(F.col("row")[text_col])
-    made = found.select("row", new.alias("new"))
-    cols = [F.col("new").alias(c) if c == text_col else F.length("new").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns]
+    made = found.select("row", new.alias("new"), spans.alias("spans"))
+    cols = [F.col("new").alias(c) if c == text_col else F.when(F.size(F.col("spans")) > 0, F.length("new").cast(docs.schema[c].dataType)).otherwise(F.col("row")[c]).alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns]
     return made.select(*cols)

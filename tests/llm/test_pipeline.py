@@ -1,0 +1,36 @@
+"""The pipeline: each stage works on what its predecessor kept."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+
+DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables here")
+def test_stages(spark):
+    from statuta.llm.common import stage
+
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    columns, kept = docs.columns, [docs.count()]
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs = stage(step(spark, docs, DIR), name)
+        assert docs.columns == columns
+        kept.append(docs.count())
+    assert kept[0] > kept[1] >= kept[2] >= kept[3] == kept[4] > 0
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, DIR)
+    assert {r[0] for r in last.select("doc_id").collect()} == {r[0] for r in docs.select("doc_id").collect()}
+    run = corpus_pipeline.run(spark, DIR)
+    assert sorted(map(tuple, run.collect())) == sorted(map(tuple, last.collect()))
+
+
+def test_clean_documents_stay(spark):
+    """Documents that no rule is about pass all stages unchanged."""
+    docs = spark.createDataFrame([(i, " ".join(f"the word{i}a{k} of thing{i}b{k} and item{i}c{k}" for k in range(30)), "en", "s", 1) for i in range(5)], "doc_id long, text string, lang string, source string, n_chars long").withColumn("n_chars", F.length("text").cast("long"))
+    kept = docs
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        kept = step(spark, kept, DIR)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
