@@ -57,7 +57,9 @@ def rules(documents: DataFrame, law_types: DataFrame | None = None) -> DataFrame
 def _long(df: DataFrame, values: dict[str, Column], source: Column, seq: Column) -> DataFrame:
     """Non-empty cells of one row as rows."""
     pairs = F.array(*[F.struct(F.lit(k).alias("column"), v.cast("string").alias("value")) for k, v in values.items()])
-    return df.select("doc", F.explode(F.filter(pairs, lambda p: F.coalesce(p["value"], F.lit("")) != "")).alias("p"), source.alias("source"), seq.alias("seq")).select("doc", "p.column", "p.value", "source", "seq")
+    # The outer form: for an inner one the optimizer computes the array a second time, to drop empty ones beforehand.
+    full = F.explode_outer(F.filter(pairs, lambda p: F.coalesce(p["value"], F.lit("")) != ""))
+    return df.select("doc", full.alias("p"), source.alias("source"), seq.alias("seq")).filter("p IS NOT NULL").select("doc", "p.column", "p.value", "source", "seq")
 
 
 def rule_cells(found: DataFrame, stats: DataFrame | None = None) -> DataFrame:

@@ -34,7 +34,7 @@ def contained(answers: DataFrame, texts: DataFrame) -> DataFrame:
     keyed = a.filter(F.size("inner") >= KEY_WORDS).select("answer_id", "answer", F.array_join(F.slice("inner", 1, KEY_WORDS), " ").alias("key"))
     keys = keyed.select("key").distinct()
     runs = let(F.split("text", " "), lambda ws: F.transform(F.slice(ws, F.lit(1), F.greatest(F.size(ws) - KEY_WORDS + 1, F.lit(0))), lambda w, i: F.concat_ws(" ", w, *[F.get(ws, i + k) for k in range(1, KEY_WORDS)])))
-    places = t.select("text_id", F.explode(F.array_distinct(runs)).alias("key")).join(keys, "key", "left_semi")
+    places = t.select("text_id", F.explode_outer(F.array_distinct(runs)).alias("key")).join(keys, "key", "left_semi")
     hits = places.join(keyed, "key").join(t, "text_id").filter(F.contains("text", F.col("answer"))).select("answer_id", "text_id").distinct()
     short = a.filter(F.size("inner") < KEY_WORDS).select("answer_id", "answer").limit(MOST_SHORT + 1).collect()
     if len(short) > MOST_SHORT:

@@ -142,7 +142,8 @@ def split(pages: DataFrame) -> DataFrame:
     whole = gathered(pages).select("doc", "pages", F.array_join(F.transform("pages", lambda p: p["text"]), "\n").alias("text"))
     kept = absorb_titles(ascending(one_scheme(openers(F.col("text")))), F.col("text"))
     made = whole.select("doc", segments(kept, F.col("text"), page_breaks(F.col("pages"))).alias("units"))
-    return made.select("doc", F.posexplode("units").alias("order_no", "u")).select("doc", "order_no", "u.*")
+    # The outer form: for an inner one the optimizer computes the array a second time, to drop empty ones beforehand.
+    return made.select("doc", F.posexplode_outer("units").alias("order_no", "u")).filter("u IS NOT NULL").select("doc", "order_no", "u.*")
 
 
 def counts(pages: DataFrame) -> DataFrame:
