@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 LONG = 64
 #: Bounds of what a worker holds: characters in a block, words in its memory of earlier ones.
 BLOCK_CHARS = 2_000_000
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 120_000
 
 #: Row k = word * 4096 + index of the token in the word, kept dense, so a token's right neighbour is row k + 1.
 ENCODE = """
@@ -97,7 +97,7 @@ class Codec:
 
         self.vocab, self.ranks, self.cut = vocab, {t: i for i, t in enumerate(vocab)}, cutter(pattern)
         self.memory = Memory(MEMORY_WORDS)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         left, right, made = [], [], []
         for i, t in enumerate(vocab):
             for k in range(1, len(t)):

@@ -36,6 +36,7 @@ WIDTH, PERCENT = 3, 85
 VALUES = 252
 SKETCH_LONGS = 16
 PARITY_LONGS = 64
+ROWS_AT_ONCE = 500
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,13 +110,20 @@ def _as(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of ROWS_AT_ONCE, so that what a worker makes of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def signed(two: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, n, set_key, bands array<long>, sketch array<long>, parity array<long>) of (doc_id, text); the key of an empty set is null."""
     per_band = rows_of(percent)
     n_bands = VALUES // per_band
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             n, keys, bands, bitmaps, odd = [], [], [], [], []
             for text in batch.column(1):
                 s = shingles(text.as_py() or "", width)
@@ -141,7 +149,7 @@ def sets_of(two: DataFrame, width: int) -> DataFrame:
     """(doc_id, items array<long>)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             items = [shingles(t.as_py() or "", width).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "items"])
 
