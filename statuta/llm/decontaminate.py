@@ -31,7 +31,7 @@ SEEDS_TOGETHER = 2
 #: An n-gram in this many documents, or this share of them, is rare whatever the rest of its item is.
 RARE_DOCS, RARE_SHARE = 16, 0.0005
 MATCH, MISMATCH, GAP = 2, -1, -1
-MIN_SCORE, MIN_WORDS = 0.3, 6
+MIN_SCORE, MIN_WORDS = 0.3, 8
 BLOCK_CHARS = 4_000_000
 _BREAKS = bytes.maketrans(bytes(b for b in range(128) if not chr(b).isalnum()), b" " * sum(not chr(b).isalnum() for b in range(128)))
 
