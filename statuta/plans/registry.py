@@ -452,6 +452,63 @@ def audience_tree(spark, sf_dir):
     return tree.nodes(lines).withColumn("depth", F.col("depth").cast("int"))
 
 
+# ---- sources and answers as tables ----------------------------------------------------------------------
+
+
+@query("SELECT CAST(o_custkey AS STRING) AS key, CAST(min(o_orderkey) AS STRING) AS first FROM orders WHERE o_custkey % 7 <> 0 GROUP BY o_custkey")
+def first_row_per_key(spark, sf_dir):
+    """Keys written in several ways are one; blank keys go; the first row stays."""
+    k = F.col("o_custkey")
+    key = F.when(k % 7 == 0, F.lit(" - ")).when(k % 3 == 0, thai_text.thai_digits(k.cast("string"))).otherwise(F.concat(k.cast("string"), F.lit(".0")))
+    d = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("line"), key.alias(scoring.KEY_COLUMN))
+    return scoring.keyed_rows(d, "line").select("key", F.col("line").cast("string").alias("first"))
+
+
+@query(f"""SELECT doc, CASE WHEN n > 0 THEN concat(CAST(n AS STRING), '/3 หน้า (', lost, ')') ELSE '-' END AS picture_pages, CASE WHEN n > 0 THEN concat('เอกสารมี ', CAST(n AS STRING), ' จาก 3 หน้าเป็นภาพที่ยังอ่านไม่ได้ (หน้า ', lost, ') ข้อมูลอาจไม่ครบ') END AS note
+FROM (SELECT doc, count(*) FILTER (has_image AND length(text) < 200) AS n, string_agg(CAST(page AS STRING), ', ' ORDER BY page) FILTER (has_image AND length(text) < 200) AS lost FROM ({PAGES}) AS p GROUP BY doc) AS x""")
+def unread_note(spark, sf_dir):
+    return pages.unread_cells(pages.page_stats(build(spark, sf_dir, PAGES)))
+
+
+@query("SELECT o_orderkey AS doc_id, o_orderkey % 3 = 0 AS picture, o_orderkey % 2 = 0 AS needs_ocr, o_orderkey % 5 = 0 AS scanned FROM orders")
+def page_predicates(spark, sf_dir):
+    k = F.col("o_orderkey")
+    images = F.array(F.struct(F.lit(10).alias("w"), F.lit(10).alias("h")), F.struct(F.when(k % 3 == 0, 400).otherwise(20).alias("w"), F.lit(100).alias("h")))
+    text = F.when(k % 2 == 0, F.lit("  short \n ")).otherwise(F.repeat(F.lit("x"), 40))
+    source = F.when(k % 5 == 0, "ocr").when(k % 5 == 1, "text-layer+ocr").when(k % 5 == 2, "text-layer")
+    return _table(spark, sf_dir, "orders").select(k.alias("doc_id"), pages.has_picture(images).alias("picture"), pages.needs_ocr(text).alias("needs_ocr"), pages.scanned(source).alias("scanned"))
+
+
+@query("SELECT CAST(o_orderkey AS STRING) AS doc, CASE WHEN o_orderkey % 3 = 0 THEN 'saved' ELSE 'read' END AS text FROM orders")
+def text_with_fallback(spark, sf_dir):
+    docs = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("doc"), (F.col("o_orderkey") % 3 == 0).alias("known"))
+    kept = docs.filter("known").select("doc", F.lit("saved").alias("text"))
+    return pages.with_fallback(docs.select("doc"), kept, docs.select("doc", F.lit("read").alias("text")))
+
+
+@query("""WITH k AS (SELECT o_orderkey AS k, CAST(o_orderkey AS STRING) AS doc FROM orders)
+SELECT doc, 'ชื่อกฎหมาย' AS "column", concat('ระเบียบ', doc) AS value, 'llm:identity' AS source, 1 AS seq FROM k
+UNION ALL SELECT doc, 'หน่วยงานกำกับ', concat('ก, ', doc), 'llm:identity', 1 FROM k WHERE k % 2 = 0
+UNION ALL SELECT doc, 'กฎหมายแม่', concat('พ.ร.บ. ', doc, ' มาตรา 1, พ.ร.ก.'), 'llm:parent', 2 FROM k
+UNION ALL SELECT doc, 'กลุ่มเป้าหมาย', CASE WHEN k % 3 = 0 THEN 'รวม' ELSE 'ก, ข' END, 'llm:audience[split]', 3 FROM k
+UNION ALL SELECT doc, 'ระดับความมั่นใจ', '0.5', 'llm:business', 4 FROM k
+UNION ALL SELECT doc, 'กฎหมายเฉพาะธุรกิจ (Core Business Laws)', 'CC1', 'llm:business', 4 FROM k""")
+def answer_cells(spark, sf_dir):
+    """Answers, read from their JSON, as cells with their sources."""
+    k, doc = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    q = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
+    values = {
+        "identity": F.concat(F.lit('{"title": '), q(F.concat(F.lit(" ระเบียบ"), doc)), F.when(k % 2 == 0, F.concat(F.lit(', "agencies": ["ก", " ", '), q(doc), F.lit("]"))).otherwise(F.lit("")), F.lit("}")),
+        "parent": F.concat(F.lit('{"parents": [{"law": '), q(F.concat(F.lit("พ.ร.บ. "), doc)), F.lit(', "section": "มาตรา 1"}, {"section": "x"}, {"law": "พ.ร.ก."}]}')),
+        "audience": F.when(k % 3 == 0, F.lit('{"split": [], "merged": "รวม"}')).otherwise(F.lit('{"split": ["ก", "ข"], "merged": "ก และ ข"}')),
+        "business": F.lit('{"core": ["CC1"], "support": [], "confidence": 0.5}'),
+        "summary": F.lit("{not json"),
+    }
+    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("question"), v.alias("value")) for n, v in values.items()]))
+    saved = _table(spark, sf_dir, "orders").select(doc.alias("doc"), rows.alias("a")).select("doc", "a.question", "a.value", F.lit(True).alias("ok"))
+    return export.answer_cells({n: answers.parsed(saved, n) for n in values})
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["gazette_export"](spark, sf_dir)
 

@@ -6,6 +6,7 @@ or prompt is logged.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 from collections.abc import Callable, Iterator
@@ -23,6 +24,41 @@ PRUNED = ("additionalProperties", "$schema", "title", "default", "examples")
 Call = Callable[[str, str, str], tuple[str, int, int, int]]
 
 
+def find_key(names: list[str], env_file: str | None = None) -> str | None:
+    """The first of the names that the environment, or else a file of NAME=value lines, sets. Read on the driver only."""
+    import os
+
+    found = {}
+    if env_file and os.path.exists(env_file):
+        with open(env_file, encoding="utf-8") as f:
+            pairs = (line.strip().removeprefix("export ").split("=", 1) for line in f if "=" in line and not line.lstrip().startswith("#"))
+            found = {k.strip(): v.strip().strip("'\"") for k, v in pairs}
+    return next((v for source in (os.environ, found) for n in names if (v := source.get(n))), None)
+
+
+class PromptCache:
+    """Handles of prompts that a provider keeps, by digest: made once, made anew before they expire, and not asked for again once refused."""
+
+    def __init__(self, make: Callable[[str], str | None], lifetime: float = 3600, margin: float = 300, least_chars: int = 2400, clock: Callable[[], float] = time.monotonic):
+        self.make, self.lifetime, self.margin, self.least_chars, self.clock = make, lifetime, margin, least_chars, clock
+        self.known: dict[str, tuple[str | None, float]] = {}
+
+    def get(self, prompt_: str) -> str | None:
+        if len(prompt_) < self.least_chars:
+            return None
+        key = hashlib.sha256(prompt_.encode()).hexdigest()
+        handle, until = self.known.get(key, ("", 0.0))
+        if handle is None or self.clock() < until - self.margin:
+            return handle
+        handle = self.make(prompt_)
+        self.known[key] = (handle, self.clock() + self.lifetime)
+        return handle
+
+    def lost(self, prompt_: str) -> None:
+        """The provider no longer has it."""
+        self.known.pop(hashlib.sha256(prompt_.encode()).hexdigest(), None)
+
+
 def timed_out(error: BaseException) -> bool:
     name = type(error).__name__.lower()
     return any(w in name for w in TIMEOUT_WORDS)

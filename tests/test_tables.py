@@ -110,6 +110,33 @@ def test_ask_retries():
     assert ask.timed_out(TimeoutError()) and not ask.timed_out(ValueError())
 
 
+def test_keys_and_prompt_cache(tmp_path, monkeypatch):
+    (tmp_path / ".env").write_text("# note\nexport SOME_KEY='abc'\n")
+    monkeypatch.delenv("SOME_KEY", raising=False)
+    assert ask.find_key(["OTHER_KEY", "SOME_KEY"], str(tmp_path / ".env")) == "abc" and ask.find_key(["OTHER_KEY"]) is None
+    now, made = [0.0], []
+    cache = ask.PromptCache(lambda p: made.append(p) or f"h{len(made)}", clock=lambda: now[0])
+    assert cache.get("short") is None and cache.get("x" * 3000) == "h1" and cache.get("x" * 3000) == "h1"
+    now[0] = 3400
+    assert cache.get("x" * 3000) == "h2"
+    cache.lost("x" * 3000)
+    assert cache.get("x" * 3000) == "h3"
+    refused = ask.PromptCache(lambda p: made.append(p), clock=lambda: now[0])
+    before = len(made)
+    assert refused.get("y" * 3000) is None and refused.get("y" * 3000) is None and len(made) == before + 1
+
+
+def test_scan_with_answers(spark):
+    pages_ = spark.createDataFrame([("100034", 1, "คำพิพากษา คดีหมายเลขดำที่ อม. 7/2561", "ocr", False)], PAGE)
+    rows = [("identity", '{"title": "ฎีกา", "lawType": "COURT_RULING"}'), ("business", '{"core": ["CC1", "CC4"], "support": []}')]
+    given = spark.createDataFrame([("100034", q, True, v) for q, v in rows], "doc string, question string, ok boolean, value string")
+    cells = {r["column"]: (r["value"], r["source"]) for r in run.scan(pages_, given).collect()}
+    assert cells[export.CORE] == ("CC1", "llm:business") and cells[export.SUPPORT] == ("CC29", "llm:business")
+    assert cells[export.KIND][1] == "rule" and cells[export.TITLE] == ("ฎีกา", "llm:identity") and cells[export.FILE] == ("100034", "rule")
+    seen = run.diagnostics(pages_).first()
+    assert seen["_รหัสจากกฎ"] == "CC29" and seen["_ตัดรหัสบริหาร"] == "CC17, CC4, CC6" and seen["_มาตรา/ข้อ"] == "0"
+
+
 def test_streams(spark, tmp_path):
     docs = spark.createDataFrame([("1", "ประกาศ"), ("2", "ระเบียบ")], "doc string, text string")
     docs.coalesce(1).write.parquet(str(tmp_path / "in"))
