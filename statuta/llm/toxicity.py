@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 8
+WINDOW = 5
 SAMPLE = 1500
 GRAM, LIFT, SUPPORT, EVIDENCE = 5, 12.0, 0.005, 20.0
-ORDINARY_BYTES, TOXIC_WORDS = 32768, 200
+ORDINARY_BYTES, TOXIC_WORDS = 32768, 90
 LEVEL = 3
 FOLDS = 5
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
