@@ -35,10 +35,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as a table in the shared folder and read it again."""
+def stage(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
+    """Cut the lineage: write ``df`` as a table in the shared folder and read it again. ``made`` collects the paths that the caller removes."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_ids, stage
+from .common import by_ids, remove, stage
 
 WIDTH, PERCENT = 3, 85
 VALUES = 252
@@ -195,60 +195,66 @@ def components(links: DataFrame) -> DataFrame:
     Each round points ids at their least smaller neighbour, follows the pointers to their ends by doubling, and contracts.
     Both levels shrink at least by half a round, so the rounds are logarithmic in a component's size.
     """
-    edges = stage(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    made: list[str] = []
+    edges = stage(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", made)
     spark = edges.sparkSession
-    root = stage(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("root")), "roots")
+    root = stage(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("root")), "roots", made)
     while not edges.isEmpty():
-        parent = stage(edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("to")), "parents")
+        parent = stage(edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("to")), "parents", made)
         while True:
             far = parent.select(F.col("id").alias("to"), F.col("to").alias("next"))
-            jumped = stage(parent.join(far, "to", "left").select("id", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "parents")
+            jumped = stage(parent.join(far, "to", "left").select("id", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "parents", made)
             parent = jumped.select("id", "to")
             if jumped.filter("moved").isEmpty():
                 break
-        root = stage(root.join(parent.select(F.col("id").alias("root"), "to"), "root", "left").select("id", F.coalesce("to", "root").alias("root")), "roots")
+        root = stage(root.join(parent.select(F.col("id").alias("root"), "to"), "root", "left").select("id", F.coalesce("to", "root").alias("root")), "roots", made)
         at = lambda c: parent.select(F.col("id").alias(c), F.col("to").alias(f"{c}_to"))
         moved = edges.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("a_to", "a").alias("a"), F.coalesce("b_to", "b").alias("b"))
-        edges = stage(moved.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    return spark.createDataFrame([], "id long, root long").unionByName(root)
+        edges = stage(moved.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", made)
+    out = stage(root, "components")
+    for path in made:
+        remove(spark, path)
+    return out
 
 
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, kept."""
-    two = _as(docs, id_col, text_col)
+    two, made = _as(docs, id_col, text_col), []
     every = stage(signed(two, width, percent), "signs")
-    first = stage(every.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
+    first = stage(every.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes", made)
     # A doc_id that is repeated with another text has several sets; each may represent a class.
-    signs = stage(every.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").drop("set_key"), "representatives")
+    signs = stage(every.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").drop("set_key"), "representatives", made)
 
     buckets = signs.select("doc_id", F.explode("bands").alias("bucket"))
     # Sums by bucket are written first: a join of two plain exchanges is one that a hot bucket's rows can be split in.
-    many = stage(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
-    shared = stage(buckets.join(many, "bucket"), "buckets")
-    weight = stage(shared.groupBy("doc_id").agg(F.sum("size").alias("weight")), "weights")
+    many = stage(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "sizes", made)
+    shared = stage(buckets.join(many, "bucket"), "buckets", made)
+    weight = stage(shared.groupBy("doc_id").agg(F.sum("size").alias("weight")), "weights", made)
     weighed = shared.select("doc_id", "bucket").join(weight, "doc_id")
-    centre = stage(weighed.groupBy("bucket").agg(F.min_by("doc_id", F.struct(-F.col("weight"), F.col("doc_id"))).alias("centre")), "centres")
+    centre = stage(weighed.groupBy("bucket").agg(F.min_by("doc_id", F.struct(-F.col("weight"), F.col("doc_id"))).alias("centre")), "centres", made)
     near = shared.select("doc_id", "bucket").join(centre, "bucket").filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    near = stage(near, "near")
-    links = stage(confirm(stage(screened(near, signs, percent), "screened"), two, width, percent), "links")
+    near = stage(near, "near", made)
+    links = stage(confirm(stage(screened(near, signs, percent), "screened", made), two, width, percent), "links", made)
     known = components(links)
 
     # What shares a bucket with others of another component.
     placed = shared.select("doc_id", "bucket").join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = stage(sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1"), "mains")
-    mixed = stage(placed.join(main.select("bucket", "main"), "bucket"), "mixed")
+    main = stage(sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1"), "mains", made)
+    mixed = stage(placed.join(main.select("bucket", "main"), "bucket"), "mixed", made)
     rest = mixed.filter("root <> main").select(F.col("doc_id").alias("a"), "bucket", F.col("root").alias("root_a"), "main")
     others = mixed.select(F.col("doc_id").alias("b"), "bucket", F.col("root").alias("root_b"))
     wide, wide_b = rest.join(side(signs, "a"), "a"), others.join(side(signs, "b"), "b")
     once = (F.col("root_b") == F.col("main")) | (F.col("root_a") < F.col("root_b"))
     left = wide.join(wide_b, (wide["bucket"] == wide_b["bucket"]) & (F.col("root_a") != F.col("root_b")) & once & may_link(percent)).select("a", "b").distinct()
-    left = stage(left.join(near, (left["a"] == near["a"]) & (left["b"] == near["b"]), "left_anti"), "late")
+    left = stage(left.join(near, (left["a"] == near["a"]) & (left["b"] == near["b"]), "left_anti"), "late", made)
     if not left.isEmpty():
-        links = stage(links.unionByName(confirm(left, two, width, percent)), "links")
+        links = stage(links.unionByName(confirm(left, two, width, percent)), "links", made)
         known = components(links)
 
     member = stage(first.join(known.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component")), "members")
+    for path in made:
+        remove(docs.sparkSession, path)
     out = every.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(member, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
