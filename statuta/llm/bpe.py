@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 LONG = 64
 #: Bounds of what a worker holds: characters in a block, words in its memory of earlier ones.
 BLOCK_CHARS = 500_000
-MEMORY_WORDS = 120_000
+MEMORY_WORDS = 250_000
 
 #: Row k = word * 4096 + index of the token in the word, kept dense, so a token's right neighbour is row k + 1.
 ENCODE = """
