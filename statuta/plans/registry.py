@@ -510,7 +510,7 @@ def answer_cells(spark, sf_dir):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["gazette_export"](spark, sf_dir)
+    return QUERIES["rule_cells"](spark, sf_dir)
 
 
 __all__ = ["QUERIES", "SQL", "flagship", "fixtures"]

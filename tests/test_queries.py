@@ -40,4 +40,5 @@ def test_query(spark, duck, name):
 
 
 def test_flagship(spark):
-    assert len(registry.flagship(spark, DIR).columns) == 34
+    assert registry.flagship(spark, DIR).count() == 1500
+    assert len(registry.QUERIES["gazette_export"](spark, DIR).columns) == 34
