@@ -75,7 +75,8 @@ def answer_json(answers: DataFrame) -> DataFrame:
 def table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV table, all text, header and quoted line breaks kept as they are. ``__line`` keeps the file's order."""
     df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("nullValue", "\0").csv(path)
-    return df.withColumn("__line", F.monotonically_increasing_id())
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns]
+    return df.select(*cells, F.monotonically_increasing_id().alias("__line"))
 
 
 def csv_text(rows: list[list[str]]) -> str:

@@ -2,8 +2,11 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from statuta import cli
 from statuta.operators import answers, export, pages, scoring, tree, units
 from statuta.plans import run
 from statuta.sources import ask, pdf, saved
@@ -159,3 +162,38 @@ def test_tree(spark):
     assert tree.ancestors(t).count() == 6
     links = spark.createDataFrame([("c", "b"), ("b", "a")], "child string, parent string")
     assert {(r["node"], r["distance"]) for r in tree.reachable(links, spark.createDataFrame([("c",)], "node string")).collect()} == {("c", 0), ("b", 1), ("a", 2)}
+
+
+def _record(path, doc, text):
+    path.write_text(json.dumps({"number": doc, "source_pdf": f"{doc}.pdf", "unread_pages": [], "pages": [{"number": 1, "source": "text-layer", "has_image": False, "text": text}]}, ensure_ascii=False), encoding="utf-8")
+
+
+def test_etl_from_saved_text(spark, tmp_path):
+    for d in ("pdf", "text", "kept"):
+        (tmp_path / d).mkdir()
+    for doc, text in (("100034", "ประกาศ เล่ม 137 ตอนที่ 14 ก ราชกิจจานุเบกษา 21 กุมภาพันธ์ 2563"), ("100035", "ระเบียบ")):
+        (tmp_path / "pdf" / f"{doc}.pdf").write_bytes(b"%PDF")
+        _record(tmp_path / "text" / f"{doc}.json", doc, text)
+    args = [spark, str(tmp_path / "pdf"), str(tmp_path / "kept")]
+    result, summary = run.etl(*args, cached=str(tmp_path / "text"), stamp="20200101-0000")
+    assert summary == "" and result.name == "result40-20200101-0000"
+    rows = saved.table(spark, str(result / "result.csv")).orderBy("__line").collect()
+    assert [(r[export.FILE], r[export.KIND], r[export.YEAR]) for r in rows] == [("100034", "ประกาศ", "2563"), ("100035", "ระเบียบ", "")]
+    again, summary = run.etl(*args, expected=str(result / "result.csv"), cached=str(tmp_path / "text"), stamp="20200101-0001")
+    assert "ตรงเป๊ะ 100%" in summary and (tmp_path / "kept/compare40-20200101-0001/documents.csv").exists()
+    seen = saved.evidence(spark.createDataFrame([("100034", "t")], "doc string, text string"), spark.read.parquet(str(again / "cells"))).first()
+    assert json.loads(seen["sources"])[export.KIND] == "rule"
+    with pytest.raises(FileNotFoundError):
+        run.etl(spark, str(tmp_path / "text"), str(tmp_path / "kept"))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    _record(tmp_path / "100034.json", "100034", "คำสั่ง ที่ 1")
+    text, out = str(tmp_path / "100034.json"), str(tmp_path / "out.csv")
+    assert cli.main(["read", text, "--chars", "6"]) == 0 and cli.main(["rules", text]) == 0 and cli.main(["scan", text, out]) == 0
+    assert cli.main(["diff", out, out, "--examples"]) == 0 and cli.main(["record", out, out, str(tmp_path / "runs"), "--stamp", "x"]) == 0
+    assert cli.main(["clean", str(tmp_path / "runs")]) == 0 and (tmp_path / "runs/result40-x").exists()
+    assert cli.main(["clean", str(tmp_path / "runs"), "--yes"]) == 0 and not (tmp_path / "runs/result40-x").exists()
+    said = capsys.readouterr().out
+    assert "คำสั่ง" in said and "UNKNOWN" in said and "would remove" in said
+    assert cli.main(["etl", str(tmp_path), str(tmp_path / "runs")]) == 2
