@@ -99,5 +99,6 @@ SPARK_SQL = SQL.replace("//", "div").replace("FROM orders", "FROM {orders}")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus of a folder's ``orders``."""
-    return spark.sql(SPARK_SQL, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    """The corpus of a folder's ``orders``. A row of two numbers becomes a text: they are dealt to all cores before that, whatever the number of files."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
+    return spark.sql(SPARK_SQL, orders=orders.repartition(max(orders.sparkSession.sparkContext.defaultParallelism, 1)))
