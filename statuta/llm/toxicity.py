@@ -1,14 +1,16 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from a bounded sample of labelled documents: an ordinary one, trained on windows of ordinary text, and a
-toxic one, which continues it with passages of toxic documents. A text is read in windows of ``WINDOW`` words; for each, the difference
-of its lengths under the two dictionaries tells how much the toxic passages help to describe it. The window differences of a document
-(the largest, the sums of the two and four largest, the mean, the share of large ones) go into a logistic score whose threshold is calibrated on a part of the sample
-that the dictionaries have not seen.
-
-The toxic passages are words that hold byte sequences of ``GRAM`` characters found in many toxic documents and ``LIFT`` times as rarely
-in ordinary ones. Copies in the sample count once. The sample is bounded: at most ``2 * SAMPLE`` documents of each label, those of
-least hash; labels come only from rows outside the held-out fifth.
+Two zstandard dictionaries are trained on a bounded sample of labelled documents: an ordinary one on windows of ordinary text, and a
+toxic one on the telling passages of all toxic documents, which continues the ordinary one, so that both describe ordinary text alike.
+A text is read in windows of ``WINDOW`` words; for each, the difference of its lengths under the two dictionaries tells how much
+the toxic passages help to describe it. The window differences of a document (the largest, the sums of the two and four largest,
+the mean, the share of large ones) go into a logistic score whose threshold is calibrated on a part of the sample that the
+dictionaries have not seen.
+
+Telling passages are the parts of words covered by byte sequences (of any of the lengths ``GRAMS``) that are ``LIFT`` times as rare in ordinary
+documents as in toxic ones, by a likelihood ratio of ``EVIDENCE``; all of them are trained on, and
+those that training leaves out are added. Copies in the sample count once. The
+sample is bounded: at most ``2 * SAMPLE`` documents of each label, those of least hash; labels come only from rows outside the held-out fifth.
 
 Null and empty texts have no windows and get the score of all-zero features. Without both labels in the sample, every score is 0. Repeated
 rows score alike, an empty table gives an empty result, other columns are never read.
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 
 WINDOW = 5
 SAMPLE = 1500
-GRAM, LIFT, SUPPORT, EVIDENCE = 5, 12.0, 0.005, 20.0
-ORDINARY_BYTES, TOXIC_WORDS = 32768, 90
+GRAMS, LIFT, EVIDENCE = range(5, 33), 12.0, 24.0
+DICTIONARY_BYTES, PIECES = 32768, 8
 LEVEL = 3
 FOLDS = 5
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
@@ -57,14 +59,51 @@ def first_of_copies(texts: list[str]) -> list[str]:
     return out
 
 
-def _grams(text: str) -> set[bytes]:
-    out = set()
-    for w in set(_WORD.findall(text.lower().encode("utf-8", "replace"))):
-        v = b" " + w + b" "
-        out.update(v[i : i + GRAM] for i in range(len(v) - GRAM + 1))
+def _words(text: str) -> list[bytes]:
+    return [b" " + w + b" " for w in _WORD.findall(text.lower().encode("utf-8", "replace"))]
+
+
+def marks(ordinary: list[str], toxic: list[str]) -> set[bytes]:
+    """Byte sequences of words, of the lengths GRAMS, that tell toxic texts from ordinary ones."""
+    na, nb = len(toxic), len(ordinary)
+
+    def evidence(n: int, m: int) -> float:
+        """Likelihood-ratio statistic of n toxic and m ordinary holders against one common rate."""
+        r = (n + m) / (na + nb)
+        return 2 * sum(k * np.log(k / e) for k, e in ((n, na * r), (m, nb * r)) if k)
+
+    # Fewer holders can't reach EVIDENCE even if none is ordinary.
+    least = next(n for n in range(1, na + 2) if n > na or evidence(n, 0) >= EVIDENCE)
+    bad, good = ([set(_words(t)) for t in texts] for texts in (toxic, ordinary))
+    out, shorter = set(), None
+    for size in GRAMS:
+        # A sequence is in no more texts than its two parts a byte shorter.
+        grams = lambda ws, parts: {g for v in ws for i in range(len(v) - size + 1) if parts is None or (v[i : i + size - 1] in parts and v[i + 1 : i + size] in parts) for g in (v[i : i + size],)}  # noqa: B023, E731
+        a, b = Counter(), Counter()
+        for ws in bad:
+            a.update(grams(ws, shorter))
+        a = {g: n for g, n in a.items() if n >= least}
+        if not a:
+            break
+        for ws in good:
+            b.update(g for g in grams(ws, shorter) if g in a)
+        out |= {g for g, n in a.items() if (n + 0.5) / na >= LIFT * (b[g] + 0.5) / nb and evidence(n, b[g]) >= EVIDENCE}
+        shorter = set(a)
     return out
 
 
+def pieces(word: bytes, found: set[bytes]) -> list[bytes]:
+    """The parts of a padded word that sequences of ``found`` cover."""
+    out, start, end = [], 0, 0
+    for i in range(len(word)):
+        reach = max((i + n for n in GRAMS if i + n <= len(word) and word[i : i + n] in found), default=0)
+        if reach and i >= end:
+            out += [word[start:end]] * (end > start)
+            start = i
+        end = max(end, reach)
+    return out + [word[start:end]] * (end > start)
+
+
 class Model:
     """Two dictionaries and a logistic score of window differences."""
 
@@ -103,39 +142,25 @@ class Model:
 
 def dictionaries(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
     """(ordinary, toxic) contents, or empty ones if nothing tells the two apart."""
-    import zstandard
-
     ordinary, toxic = first_of_copies(ordinary), first_of_copies(toxic)
-    a, b = Counter(), Counter()
-    for t in toxic:
-        a.update(_grams(t))
-    for t in ordinary:
-        b.update(_grams(t))
-    na, nb = len(toxic), len(ordinary)
+    found = marks(ordinary, toxic)
+    told = [[p for w in _words(t) for p in pieces(w, found)] for t in toxic]
+    if not any(told):
+        return b"", b""
+    base = trained([w for t in ordinary for w in windows(t)[:: max(1, len(windows(t)) // 12)]])
+    passages = trained([b"".join(ps[i : i + PIECES]) for ps in told for i in range(0, len(ps), PIECES)])
+    # Training covers the frequent ones; what it left out goes in before them.
+    rest = b"".join(sorted({p for ps in told for p in ps if p not in passages}))
+    return base, base + b" " + rest + passages + b" "
 
 
-    def evidence(n: int, m: int) -> float:
-        """Likelihood-ratio statistic of n toxic and m ordinary holders against one common rate."""
-        r = (n + m) / (na + nb)
-        return 2 * sum(k * np.log(k / e) for k, e in ((n, na * r), (m, nb * r)) if k)
+def trained(samples: list[bytes]) -> bytes:
+    import zstandard
 
-    marks = {g for g, n in a.items() if n >= SUPPORT * na and (n + 0.5) / na >= LIFT * (b[g] + 0.5) / nb and evidence(n, b[g]) >= EVIDENCE}
-    found = Counter()
-    for t in toxic:
-        for w in set(_WORD.findall(t.lower().encode("utf-8", "replace"))):
-            v = b" " + w + b" "
-            if any(v[i : i + GRAM] in marks for i in range(len(v) - GRAM + 1)):
-                found[w] += 1
-    if not found:
-        return b"", b""
-    # The most frequent come last: the nearest matches are the cheapest.
-    passages = b" ".join(w for w, _ in sorted(found.items(), key=lambda x: (-x[1], x[0]))[:TOXIC_WORDS][::-1])
-    samples = [w for t in ordinary for w in windows(t)[:: max(1, len(windows(t)) // 12)]]
     try:
-        base = zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: their own text
-        base = b"".join(samples)[-ORDINARY_BYTES:]
-    return base, base + b" " + passages + b" "
+        return b"".join(dict.fromkeys(samples))[-DICTIONARY_BYTES:]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:

@@ -293,6 +293,22 @@ def test_toxicity_held_out(spark):
     assert {x["score"] for x in none} == {0.0} and toxicity.classify(docs(spark, []), known).count() == 0
 
 
+def test_toxicity_trains_on_all_telling_words():
+    r = random.Random(8)
+    syllables = ["an", "er", "th", "in", "on", "re", "st"]
+    make = lambda n: ["".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(n)]
+    odd = ["".join(r.choice("bcdfgjklmpqvwxz") for _ in range(7)) for _ in range(200)]
+    # Each five-byte piece of these is common.
+    long = ["".join(r.choice(syllables) for _ in range(7)) for _ in range(3)]
+    ordinary = [" ".join(make(100)) for _ in range(300)]
+    toxic = [" ".join(make(100) + r.sample(odd, 35) + r.sample(long, 2)) for _ in range(300)]
+    base, all_ = toxicity.dictionaries(ordinary, toxic)
+    assert [w for w in odd + long if w.encode() not in all_[len(base) :]] == []
+    model = toxicity.Model(base, all_)
+    gain = lambda ws: np.mean([model.features(" ".join(make(2) + [w] + make(2)))[0] for w in ws])
+    assert gain(odd) >= 3 and gain(long) > gain(make(200)) + 1
+
+
 # ---- 8 near duplicates ----------------------------------------------------------------------------------
 
 
