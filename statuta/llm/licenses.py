@@ -2,7 +2,7 @@
 
 Text is lower-cased (A-Z only) and read as words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``, joined by single spaces; every rule is a
 pattern over that form and an offset is a number of words. Base phrases are reported at all their places. The rules add
-labels: a rule is tried only if the text holds its keyword, each match is an interval, and an interval inside another of a
+labels: a rule is tried only if the words hold its keyword (any match does), each match is an interval, and an interval inside another of a
 stronger (or the same, longer or earlier) rule is suppressed. Rules come in three strengths: 0 for identifiers and whole
 sentences, 1 for "licensed under ..." statements, 2 for bare names.
 
@@ -30,23 +30,23 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("apache-1", "apache", r"apache(?: software)?(?: license)?(?: version| v)? 1 [01]", ["redistribution and use in source and binary forms .{0,400} the apache software foundation"]),
     ("apache-2", "apache", r"apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?", ["you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"]),
     ("bsd-1-clause", "bsd", r"bsd (?:1|one) clause", []),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|freebsd|bsd (?:2|two) clause|(?:2|two) clause bsd)", []),
+    ("bsd-2-clause", "bsd|freebsd", r"(?:simplified bsd|freebsd|bsd (?:2|two) clause|(?:2|two) clause bsd)", []),
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd (?:3|three) clause|(?:3|three) clause bsd)", ["neither the name of .{1,80} nor the names of its contributors may be used to endorse or promote products"]),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd (?:4|four) clause|(?:4|four) clause bsd)", ["all advertising materials mentioning features or use of this software must display"]),
-    ("0bsd", "bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)", []),
+    ("0bsd", "bsd|0bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)", []),
     ("bsd", "bsd", r"bsd(?: style| like)?", []),
     ("isc", "isc", r"isc", ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"]),
-    ("gpl-1", "gnu|gpl", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?1(?: 0)?", []),
-    ("gpl-2", "gnu|gpl", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?2(?: 0)?", ["under the terms of the gnu general public license as published by the free software foundation either version 2"]),
-    ("gpl-3", "gnu|gpl", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?3(?: 0)?", ["under the terms of the gnu general public license as published by the free software foundation either version 3"]),
-    ("gpl", "gnu|gpl", r"(?:gnu gpl|gnu general public license|gpl)", []),
-    ("lgpl-2", "gnu|lgpl", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version| v)? ?2(?: 0)?", []),
-    ("lgpl-2.1", "gnu|lgpl", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?2 1", []),
-    ("lgpl-3", "gnu|lgpl", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?3(?: 0)?", []),
-    ("lgpl", "gnu|lgpl", r"(?:gnu )?(?:lgpl|lesser general public license|library general public license)", []),
+    ("gpl-1", "gnu|gpl|general public", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?1(?: 0)?", []),
+    ("gpl-2", "gnu|gpl|general public", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?2(?: 0)?", ["under the terms of the gnu general public license as published by the free software foundation either version 2"]),
+    ("gpl-3", "gnu|gpl|general public", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?3(?: 0)?", ["under the terms of the gnu general public license as published by the free software foundation either version 3"]),
+    ("gpl", "gnu|gpl|general public", r"(?:gnu gpl|gnu general public license|gpl)", []),
+    ("lgpl-2", "gnu|lgpl|lesser general|library general", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version| v)? ?2(?: 0)?", []),
+    ("lgpl-2.1", "gnu|lgpl|lesser general|library general", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?2 1", []),
+    ("lgpl-3", "gnu|lgpl|lesser general|library general", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?3(?: 0)?", []),
+    ("lgpl", "gnu|lgpl|lesser general|library general", r"(?:gnu )?(?:lgpl|lesser general public license|library general public license)", []),
     ("agpl-3", "gnu|agpl|affero", r"(?:gnu )?(?:agpl|affero general public license|affero gpl)(?: version| v)? ?3(?: 0)?", []),
     ("agpl", "gnu|agpl|affero", r"(?:gnu )?(?:agpl|affero general public license|affero gpl)", []),
-    ("gfdl", "gnu|gfdl", r"(?:gnu )?(?:gfdl|free documentation license)(?: version 1 [123])?", []),
+    ("gfdl", "gnu|gfdl|free documentation", r"(?:gnu )?(?:gfdl|free documentation license)(?: version 1 [123])?", []),
     ("mpl-1.0", "mozilla|mpl", r"(?:mozilla public license|mpl)(?: version| v)? 1 0", []),
     ("mpl-1.1", "mozilla|mpl", r"(?:mozilla public license|mpl)(?: version| v)? 1 1", []),
     ("mpl-2.0", "mozilla|mpl", r"(?:mozilla public license|mpl)(?: version| v)? ?2(?: 0)?", ["this source code form is subject to the terms of the mozilla public license v 2 0"]),
@@ -114,30 +114,24 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
 ]
 
 
-def _rules() -> list[tuple[str, str, int, str]]:
-    """(label, keywords, strength, pattern over padded words), strongest first."""
+def _rules() -> list[tuple[str, str, str, int, str]]:
+    """(label, needed piece, keywords, strength, pattern over padded words), strongest first. No text matches without the piece and a keyword."""
     out = []
     for label, keyword, names, passages in FAMILIES:
         key = "|".join(f" {k}" for k in keyword.split("|"))
-        out += [(label, key, 0, rf"(?<= ){p}(?= )") for p in passages]
-        out.append((label, key, 0, rf"(?<= )spdx license identifier {names}(?: only| or later)?(?= )"))
-        out.append((label, key, 1, rf"(?<= )(?:licensed|released|distributed|available|published|provided|redistributed|covered|used|made available)(?: by [^ ]+)? under (?:the |a |an )?(?:terms of (?:the )?)?(?:open source )?{names}(?: licen[cs]e)?(?: version| v)?(?= )"))
-        out.append((label, key, 1, rf"(?<= )licen[cs]e (?:is |type |name )?(?:the )?{names}(?= )"))
-        out.append((label, key, 2, rf"(?<= )(?:the )?{names} (?:public )?licen[cs]e[ds]?(?= )" if not any(x in names for x in ("licen", "domain", "gpl", "cc", "same terms", "clause", "rail")) else rf"(?<= ){names}(?= )"))
-    return sorted(out, key=lambda r: r[2])
+        # A passage has its own words for a keyword: its text need not name the license.
+        out += [(label, "", " " + p.split(" .{")[0], 0, rf"(?<= ){p}(?= )") for p in passages]
+        out.append((label, " spdx license identifier ", key, 0, rf"(?<= )spdx license identifier {names}(?: only| or later)?(?= )"))
+        out.append((label, " under ", key, 1, rf"(?<= )(?:licensed|released|distributed|available|published|provided|redistributed|covered|used|made available)(?: by [^ ]+)? under (?:the |a |an )?(?:terms of (?:the )?)?(?:open source )?{names}(?: licen[cs]e)?(?: version| v)?(?= )"))
+        out.append((label, " licen", key, 1, rf"(?<= )licen[cs]e (?:is |type |name )?(?:the )?{names}(?= )"))
+        bare = any(x in names for x in ("licen", "domain", "gpl", "cc", "same terms", "clause", "rail"))
+        out.append((label, "" if bare else " licen", key, 2, rf"(?<= ){names}(?= )" if bare else rf"(?<= )(?:the )?{names} (?:public )?licen[cs]e[ds]?(?= )"))
+    return sorted(out, key=lambda r: r[3])
 
 
 RULES = _rules()
 STRENGTHS = 3
 SCORES = [0.95, 0.85, 0.6]
-#: A text is read further only if its lower-case form holds one of these. Each base phrase has one that is a single word, or the pattern.
-GATE = [
-    "licen", "spdx", "public domain", "public-domain", "rights reserved", "proprietary", "unauthorized copying", "wtfpl", "gpl", "gfdl", "cc0", "creative", "same terms as perl", "permission is hereby", "permission to use",
-    "redistribution and use", "neither the name", "waived all", "advertising materials", "software is provided", "bsd", "openrail", "open rail", "commons clause", "mozilla", "released under", "distributed under",
-    "available under", "published under", "provided under", "covered under",
-]
-#: Any separators may stand in the base phrase.
-GATE_CC = rf"cc{GAP}(?:by|zero)"
 
 
 def words_form(text: Column) -> Column:
@@ -164,16 +158,6 @@ def word_places(norm: Column, pattern: Column) -> Column:
     return F.aggregate(parts, first, step, lambda acc: acc["out"])
 
 
-def gated(text: Column) -> Column:
-    def any_of(low: Column) -> Column:
-        out = low.rlike(GATE_CC)
-        for k in GATE:
-            out |= F.contains(low, F.lit(k))
-        return out
-
-    return let(F.lower(text), any_of)
-
-
 def base_hits(norm: Column) -> Column:
     none = F.array().cast("array<struct<start:int,end:int,label:string>>")
 
@@ -186,11 +170,12 @@ def base_hits(norm: Column) -> Column:
 
 def rule_hits(norm: Column) -> Column:
     """Unsuppressed intervals: array<struct<start,end,strength,label>>."""
-    keyed: dict[str, list] = {}
-    for label, key, strength, pattern in RULES:
-        keyed.setdefault(key, []).append(F.struct(F.lit(label).alias("label"), F.lit(strength).alias("strength"), F.lit(pattern).alias("pattern")))
-    gates = F.array(*[F.struct(F.split(F.lit(key), r"\|").alias("keys"), F.array(*rules).alias("rules")) for key, rules in keyed.items()])
-    open_ = F.filter(gates, lambda g: F.exists(g["keys"], lambda k: F.contains(norm, k)))
+    keyed: dict[str, dict[str, list]] = {}
+    for label, need, key, strength, pattern in RULES:
+        keyed.setdefault(need, {}).setdefault(key, []).append(F.struct(F.lit(label).alias("label"), F.lit(strength).alias("strength"), F.lit(pattern).alias("pattern")))
+    gates = F.array(*[F.struct(F.lit(need).alias("need"), F.array(*[F.struct(F.split(F.lit(key), r"\|").alias("keys"), F.array(*rules).alias("rules")) for key, rules in by.items()]).alias("by")) for need, by in keyed.items()])
+    needed = F.flatten(F.transform(F.filter(gates, lambda g: F.contains(norm, g["need"])), lambda g: g["by"]))
+    open_ = F.filter(needed, lambda g: F.exists(g["keys"], lambda k: F.contains(norm, k)))
     live = F.filter(F.flatten(F.transform(open_, lambda g: g["rules"])), lambda r: F.rlike(norm, r["pattern"]))
     every = F.flatten(F.transform(live, lambda r: F.transform(word_places(norm, r["pattern"]), lambda h: F.struct(h["start"].alias("start"), (-h["end"]).alias("back"), r["strength"].alias("strength"), r["label"].alias("label")))))
     # In order of start, longest first: a later interval lies inside an earlier one if that ends no sooner.
@@ -212,11 +197,10 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def of(norm: Column) -> Column:
         return F.struct(base_hits(norm).alias("base"), rule_hits(norm).alias("rules"))
 
-    none = F.struct(F.array().cast("array<struct<start:int,end:int,label:string>>").alias("base"), F.array().cast("array<struct<start:int,end:int,strength:int,label:string>>").alias("rules"))
     found = docs.select(
         F.col(id_col).alias("doc_id"),
         F.when(text == "", 0).otherwise(F.size(F.split(text, RAW_GAP)) - F.left(text, F.lit(1)).rlike(RAW_GAP).cast("int") - F.right(text, F.lit(1)).rlike(RAW_GAP).cast("int")).alias("n"),
-        F.when(gated(text), let(words_form(text), of)).otherwise(none).alias("x"),
+        let(words_form(text), of).alias("x"),
     ).select("doc_id", "n", "x.*")
     starts = F.transform("base", lambda h: h["start"])
     labels = lambda *a: F.array_join(F.array_sort(F.array_distinct(F.concat(*[F.transform(c, lambda h: h["label"]) for c in a]))), ",")

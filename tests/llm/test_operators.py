@@ -239,6 +239,49 @@ def test_license_rules(spark, text, labels):
     assert one(licenses.detect(docs(spark, [(1, text)])))[1]["labels"] == labels
 
 
+UNGATED = [
+    ("This crate: MPL-2.0.", "mpl-2.0"), ("Code under EUPL 1.2", "eupl"), ("Data: ODbL 1.0", "odbl"), ("released\nunder Apache 2.0", "apache-2"), ("released by Acme under Apache 2.0", "apache-2"),
+    ("in the public\ndomain", "public-domain"), ("All rights\nreserved", "proprietary"), ("EPL 2.0", "epl-2.0"), ("0BSD license", "0bsd"), ("FreeBSD license", "bsd-2-clause"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"), ("lesser general public license 3.0", "lgpl-3"), ("free documentation license", "gfdl"),
+]
+
+
+def test_license_rules_need_no_other_gate(spark):
+    got = one(licenses.detect(docs(spark, [(i, t) for i, (t, _) in enumerate(UNGATED)])))
+    assert [(t, label) for i, (t, label) in enumerate(UNGATED) if label not in got[i]["labels"].split(",")] == []
+
+
+def test_license_keywords_cover_rules():
+    from re import _parser
+
+    r = random.Random(5)
+
+    def some(tree):
+        out = ""
+        for op, v in tree:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(v)
+            elif op == "SUBPATTERN":
+                out += some(v[-1])
+            elif op == "BRANCH":
+                out += some(r.choice(v[1]))
+            elif op == "MAX_REPEAT":
+                out += "".join(some(v[2]) for _ in range(r.randint(v[0], min(v[1], v[0] + 1))))
+            elif op == "IN":
+                out += chr(r.choice([c for o, c in v if str(o) == "LITERAL"])) if str(v[0][0]) != "NEGATE" else "x"
+            elif op in ("ANY", "NOT_LITERAL"):
+                out += "x"
+            else:
+                assert op == "ASSERT"
+        return out
+
+    for label, need, key, _, pattern in licenses.RULES:
+        for _ in range(60):
+            t = f" {some(_parser.parse(pattern))} "
+            assert re.search(pattern, t) and need in t and any(k in t for k in key.split("|")), (label, t)
+
+
 def test_license_edges(edge):
     got = by_id(licenses.detect(edge))
     assert len(got[5]) == 2 and got[1][0]["n_words"] == 0 and got[4][0]["n_words"] == 30_000 and got[2][0]["score"] == 0.0
