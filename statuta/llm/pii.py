@@ -102,18 +102,20 @@ DIGIT_WORDS = {
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?i)(?<!\w)(?:(plus)[\x20-]+)?(?:(?:{_WORD}|[0-9]+)[\x20,.-]{{1,2}}){{6,}}(?:{_WORD}|[0-9]+)(?!\w)")
 _SPELLED_PART = re.compile(rf"(?i)(?<!\w)(plus)[\x20-]+|(?<!\w)({_WORD})(?!\w)")
-_SPELLED_GATE = re.compile(r"(?i)(?<!\w)(?:(?:seven|four|five|three|nine|eight|cinq|sept|huit|neuf|quatre|trois|drei|vier|sieben|acht|neun|fünf|sechs|cinco|siete|ocho|nueve|cuatro|tres|seis|zero|zéro|null|cero|one|two|six|un|deux|eins|zwei|uno|dos)[\x20,.-]{1,2}){2}")
+# A run that holds a digit word has it next to another part.
+_SPELLED_GATE = re.compile(rf"(?i)(?<!\w)(?:{_WORD})[\x20,.-]{{1,2}}(?:[0-9]|(?:{_WORD})(?!\w))|[0-9][\x20,.-]{{1,2}}(?:{_WORD})(?!\w)")
 
 ENDINGS = "com|org|net|edu|gov|io|de|fr|es|uk|eu|info|biz|co|ch|at|it|nl|us|ca|example|invalid|test"
-_BRACKETED_AT = r"\x20*[\[({<]\x20*(?:at|arroba|@)\x20*[\])}>]\x20*"
-_BRACKETED_DOT = r"\x20*[\[({<]\x20*(?:dot|punkt|point|punto|\.)\x20*[\])}>]\x20*"
+_AT_WORDS, _DOT_WORDS = r"at|arroba|@", r"dot|punkt|point|punto|\."
+_BRACKETED_AT = rf"\x20*[\[({{<]\x20*(?:{_AT_WORDS})\x20*[\])}}>]\x20*"
+_BRACKETED_DOT = rf"\x20*[\[({{<]\x20*(?:{_DOT_WORDS})\x20*[\])}}>]\x20*"
 _ANY_DOT = rf"(?:{_BRACKETED_DOT}|\x20+(?:dot|punkt|punto)\x20+|\.)"
 _MAIL = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:{_BRACKETED_DOT}|\x20dot\x20|\.)[A-Za-z0-9_%+-]+){{0,3}}"
     rf"(?:{_BRACKETED_AT}[A-Za-z0-9-]+(?:{_ANY_DOT}[A-Za-z0-9-]+)*?{_ANY_DOT}[A-Za-z]{{2,}}"
     rf"|(?:\x20+at\x20+(?!(?:the|an?|this|that|my|our|your|his|her|its|their|every|each|one)\x20)|@)[A-Za-z0-9-]+(?:(?:{_BRACKETED_DOT}|\x20dot\x20|\.)[A-Za-z0-9-]+)*(?:{_BRACKETED_DOT}|\x20+dot\x20+)(?:{ENDINGS}))(?![A-Za-z0-9-])"
 )
-_MAIL_GATE = re.compile(r"(?i)[\[({<]\x20*(?:at|arroba|@|dot)\x20*[\])}>]|\x20dot\x20")
+_MAIL_GATE = re.compile(rf"(?i)[\[({{<]\x20*(?:{_AT_WORDS}|{_DOT_WORDS})\x20*[\])}}>]|\x20dot\x20")
 _MAIL_AT = re.compile(rf"(?i){_BRACKETED_AT}|\x20+at\x20+|@")
 _MAIL_DOT = re.compile(rf"(?i){_BRACKETED_DOT}|\x20+(?:dot|punkt|punto)\x20+")
 _REACH = 160  # characters that a disguised address may span before and after its sign

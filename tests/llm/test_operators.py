@@ -81,6 +81,19 @@ def test_pii_unmasks(text, found):
     assert [text[a:b] for a, k, b in every if (a, k, b) not in base] == found
 
 
+@pytest.mark.parametrize("dot", ["[.]", "(.)", "{dot}", "(punkt)", "(point)", "[punto]", " <punkt> ", " [ . ] ", " dot "])
+@pytest.mark.parametrize("at", ["@", " at ", "[at]", "(arroba)", " {@} "])
+def test_pii_unmasks_any_at_and_dot(at, dot):
+    t = f"write to john{at}example{dot}com now"
+    assert pii.find(t)[1] == [(9, 0, len(t) - 4)]
+
+
+@pytest.mark.parametrize("number", ["four 1 five 2 three 3 six 4 seven 8", "4 one 5 two 3 three 6 four 7 2", "4 1 5 2 3 3 6 4 oh 7"])
+def test_pii_unmasks_words_between_digits(number):
+    t = f"call plus {number} today"
+    assert pii.find(t)[1] == [(5, 3, len(t) - 6)]
+
+
 def test_pii_edges(spark, edge):
     got = by_id(pii.scan(edge))
     assert sorted(got) == [1, 2, 3, 4, 5, 6, 7] and len(got[5]) == 2 and got[1][0]["base_sha256"] == hashlib.sha256(b"").hexdigest()
