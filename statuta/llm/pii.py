@@ -6,7 +6,7 @@ text, keeping for every written character the place it came from:
 1. look-alikes: full-width forms, other scripts' digits and letters that look like ASCII become ASCII, invisible
    characters go;
 2. at/dot disguises: ``name [at] host [dot] com`` and its bracket styles become ``name@host.com``; bare words ``at`` and
-   ``dot`` count only together and before a known ending;
+   ``dot`` count only together and before a known ending; four groups of digits with such dots between become an address;
 3. spelled digits: a run of seven or more digit words (en, fr, de, es) becomes digits.
 
 The same detectors run on the result, and each normalised span maps back to source characters. A mapped span is added unless
@@ -118,6 +118,9 @@ _MAIL = re.compile(
 _MAIL_GATE = re.compile(rf"(?i)[\[({{<]\x20*(?:{_AT_WORDS}|{_DOT_WORDS})\x20*[\])}}>]|\x20dot\x20")
 _MAIL_AT = re.compile(rf"(?i){_BRACKETED_AT}|\x20+at\x20+|@")
 _MAIL_DOT = re.compile(rf"(?i){_BRACKETED_DOT}|\x20+(?:dot|punkt|punto)\x20+")
+# Four groups of digits with dots between, which may be disguised.
+_IP_MASKED = re.compile(rf"(?i)(?<![0-9])[0-9]+(?:{_ANY_DOT}[0-9]+){{3}}")
+_IP_GATE = re.compile(rf"(?i)[0-9]\x20*(?:[\[({{<]\x20*(?:{_DOT_WORDS})\x20*[\])}}>]|\x20(?:dot|punkt|punto)\x20)\x20*[0-9]")
 _REACH = 160  # characters that a disguised address may span before and after its sign
 
 
@@ -157,6 +160,13 @@ def _unmask_mail(t: Tape) -> Tape:
     return t.rewritten(edits) if edits else t
 
 
+def _unmask_ip(t: Tape) -> Tape:
+    if not _IP_GATE.search(t.text):
+        return t
+    edits = [(d.start(), d.end(), ".") for m in _IP_MASKED.finditer(t.text) for d in _MAIL_DOT.finditer(t.text, m.start(), m.end())]
+    return t.rewritten(edits) if edits else t
+
+
 def _unmask_digits(t: Tape) -> Tape:
     if not _SPELLED_GATE.search(t.text):
         return t
@@ -175,7 +185,7 @@ def _unmask_digits(t: Tape) -> Tape:
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """(base, all spans) of a text; all spans include the unmasked ones."""
     base = detect(text)
-    tape = _unmask_digits(_unmask_mail(_unmask_alike(Tape(text))))
+    tape = _unmask_digits(_unmask_ip(_unmask_mail(_unmask_alike(Tape(text)))))
     if tape.text is text or tape.text == text:
         return base, base
     seen: dict[int, list[tuple[int, int]]] = {}

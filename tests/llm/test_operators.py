@@ -94,6 +94,12 @@ def test_pii_unmasks_words_between_digits(number):
     assert pii.find(t)[1] == [(5, 3, len(t) - 6)]
 
 
+@pytest.mark.parametrize("ip", ["192[.]168[.]0[.]1", "10 dot 0 dot 0 dot 1", "10.0.0(dot)1", "10 [punkt] 0 [punkt] 0.1", "1 punto 2 punto 3 punto 4", "10 dot 0.0 dot 1"])
+def test_pii_unmasks_ip(ip):
+    assert pii.find(f"host {ip}, up") == ([], [(5, 1, 5 + len(ip))])
+    assert pii.find("1 dot 2 dot 3 and 300[.]1[.]1[.]1")[1] == []
+
+
 def test_pii_edges(spark, edge):
     got = by_id(pii.scan(edge))
     assert sorted(got) == [1, 2, 3, 4, 5, 6, 7] and len(got[5]) == 2 and got[1][0]["base_sha256"] == hashlib.sha256(b"").hexdigest()
