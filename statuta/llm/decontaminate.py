@@ -4,7 +4,8 @@ Texts are lower-cased and read as words between ASCII white space and punctuatio
 whole item if it is one word) are counted over all documents (each document once); an item's seeds are those that are rare
 among documents, and those no more frequent than its median one, so each item keeps its rarest half however common its text is. A document's hit on a seed opens a window of words about
 the item's place; overlapping windows of an item are one, and one in which two different seeds meet is aligned. Local alignment of words (match 2, mismatch -1, gap -1) gives
-a score, 1.0 for a whole verbatim copy. Reported are pairs that reach ``MIN_SCORE`` with ``MIN_WORDS`` matching words (or all of a shorter item).
+a score, 1.0 for a whole verbatim copy. Reported are pairs that reach ``MIN_SCORE`` with ``MIN_WORDS`` matching words,
+or ``SHORT_SCORE`` with ``SHORT_SHARE`` of the words of a shorter item.
 
 The benchmark's index goes to the tasks in blocks of at most ``BLOCK_CHARS`` characters (an item longer than that is a block of
 its own); a benchmark of any size is covered, one pair of scans of the documents a block.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import repeat
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ SEEDS_TOGETHER = 2
 RARE_DOCS, RARE_SHARE = 16, 0.0005
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE, MIN_WORDS = 0.3, 8
+#: Items too short for MIN_WORDS need this share of their words, and a higher score.
+SHORT_SHARE, SHORT_SCORE = 0.7, 0.5
 BLOCK_CHARS = 4_000_000
 _BREAKS = bytes.maketrans(bytes(b for b in range(128) if not chr(b).isalnum()), b" " * sum(not chr(b).isalnum() for b in range(128)))
 
@@ -158,7 +162,8 @@ def passages(index: Index, text: str | None) -> list[tuple[int, float, int, int,
                 s, m, i, j = align(item, x[at : min(b, at + step + 2 * len(item))])
                 best = max(best, (s, m, -(i + at), j + at))
         score = best[0] / (MATCH * len(item))
-        if score >= MIN_SCORE and best[1] >= min(MIN_WORDS, len(item)):
+        least = min(MIN_WORDS, ceil(SHORT_SHARE * len(item)))
+        if score >= (MIN_SCORE if best[1] >= MIN_WORDS else SHORT_SCORE) and best[1] >= least:
             out.append((n, score, best[1], -best[2], best[3]))
     return out
 

@@ -235,6 +235,15 @@ def test_decontamination(spark):
         decontaminate.BLOCK_CHARS = old
 
 
+@pytest.mark.parametrize("size", [5, 6, 7, 8, 9, 10])
+def test_decontamination_of_edited_short_items(spark, size):
+    item = [f"word{size}x{i}" for i in range(size)]
+    edited = item[: size // 2] + ["other"] + item[size // 2 + 1 :]
+    rows = [(1, "before it " + " ".join(edited) + " and after"), (2, "before it " + " ".join(item[: size // 2]) + " and after")]
+    found = decontaminate.contaminated(docs(spark, rows), spark.createDataFrame([(9, " ".join(item))], "item_id long, text string"))
+    assert [(x["doc_id"], x["n_matches"]) for x in found.collect()] == [(1, size - 1)]
+
+
 # ---- 5 licenses -----------------------------------------------------------------------------------------
 
 
