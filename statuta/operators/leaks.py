@@ -26,7 +26,8 @@ def contained(answers: DataFrame, texts: DataFrame) -> DataFrame:
     """(answer_id, text_id) of answers (answer_id, answer) that texts (text_id, text) contain, white space squeezed.
 
     The words of an answer but its first and last are whole words of any text that holds it, so the first KEY_WORDS of them are an
-    equi-join key. Answers with fewer inner words are compared by a bounded literal list; more than MOST_SHORT of them raise.
+    equi-join key. Answers with fewer inner words are compared by literal lists of about MOST_SHORT each, one
+    scan of the texts a list.
     """
     a = answers.select("answer_id", squeezed(F.col("answer")).alias("answer")).filter(telling(F.col("answer")))
     a = a.withColumn("inner", F.slice(F.split("answer", " "), F.lit(2), F.greatest(F.size(F.split("answer", " ")) - 2, F.lit(0))))
@@ -36,11 +37,13 @@ def contained(answers: DataFrame, texts: DataFrame) -> DataFrame:
     runs = let(F.split("text", " "), lambda ws: F.transform(F.slice(ws, F.lit(1), F.greatest(F.size(ws) - KEY_WORDS + 1, F.lit(0))), lambda w, i: F.concat_ws(" ", w, *[F.get(ws, i + k) for k in range(1, KEY_WORDS)])))
     places = t.select("text_id", F.explode_outer(F.array_distinct(runs)).alias("key")).join(keys, "key", "left_semi")
     hits = places.join(keyed, "key").join(t, "text_id").filter(F.contains("text", F.col("answer"))).select("answer_id", "text_id").distinct()
-    short = a.filter(F.size("inner") < KEY_WORDS).select("answer_id", "answer").limit(MOST_SHORT + 1).collect()
-    if len(short) > MOST_SHORT:
-        raise ValueError(f"more than {MOST_SHORT} answers of fewer than {KEY_WORDS + 2} words")
-    if not short:
-        return hits
-    listed = F.array(*[F.struct(F.lit(r["answer_id"]).alias("answer_id"), F.lit(r["answer"]).alias("answer")) for r in short])
-    few = t.select("text_id", F.explode(F.filter(listed, lambda x: F.contains(F.col("text"), x["answer"]))).alias("x")).select("x.answer_id", "text_id")
-    return hits.unionByName(few.select(F.col("answer_id").cast(answers.schema["answer_id"].dataType).alias("answer_id"), "text_id")).distinct()
+    short = a.filter(F.size("inner") < KEY_WORDS).select("answer_id", "answer").distinct()
+    blocks = -(-short.count() // MOST_SHORT)
+    for k in range(blocks):
+        rows = short.filter(F.pmod(F.xxhash64("answer_id", "answer"), F.lit(blocks)) == k).collect()
+        if not rows:
+            continue
+        listed = F.array(*[F.struct(F.lit(r["answer_id"]).alias("answer_id"), F.lit(r["answer"]).alias("answer")) for r in rows])
+        few = t.select("text_id", F.explode(F.filter(listed, lambda x: F.contains(F.col("text"), x["answer"]))).alias("x")).select("x.answer_id", "text_id")
+        hits = hits.unionByName(few.select(F.col("answer_id").cast(answers.schema["answer_id"].dataType).alias("answer_id"), "text_id"))
+    return hits.distinct()

@@ -197,3 +197,12 @@ def test_command_line(spark, tmp_path, capsys):
     said = capsys.readouterr().out
     assert "คำสั่ง" in said and "UNKNOWN" in said and "would remove" in said
     assert cli.main(["etl", str(tmp_path), str(tmp_path / "runs")]) == 2
+
+
+def test_short_answers_of_any_number(spark, monkeypatch):
+    from statuta.operators import leaks
+
+    monkeypatch.setattr(leaks, "MOST_SHORT", 3)
+    a = spark.createDataFrame([(i, f"left{i}, right{i}") for i in range(10)], "answer_id long, answer string")
+    t = spark.createDataFrame([(i, f"text left{i}, right{i}") for i in range(0, 10, 2)], "text_id long, text string")
+    assert sorted(map(tuple, leaks.contained(a, t).collect())) == [(i, i) for i in range(0, 10, 2)]
