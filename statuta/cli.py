@@ -14,6 +14,7 @@ def session() -> SparkSession:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="statuta")
+    top.add_argument("--quiet", action="store_true", help="no line for each stage")
     verbs = top.add_subparsers(dest="verb", required=True)
 
     def verb(name: str, *positional: str) -> argparse.ArgumentParser:
@@ -49,7 +50,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     from statuta.operators import export, pages
-    from statuta.plans import run
+    from statuta.plans import progress, run
     from statuta.sources import pdf, saved
 
     if a.verb == "clean":
@@ -57,6 +58,7 @@ def main(argv: list[str] | None = None) -> int:
             print(("removed " if a.yes else "would remove ") + str(path))
         return 0
     spark = session()
+    progress.setup(not a.quiet)
     if a.verb == "ocr":
         saved.write_records(pdf.documents(spark, a.source, ocr=not a.no_ocr, mode=a.mode), a.into)
     elif a.verb == "read":

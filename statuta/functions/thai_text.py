@@ -64,12 +64,14 @@ def restore_sara_am(c: Column) -> Column:
 
 
 def needs_nfc(c: Column) -> Column:
-    """Whether NFC could change the text: it leaves ASCII, Latin-1 and Thai without nukta-like marks as they are."""
-    return c.rlike(r"[^\x00-\xff฀-ืู-็์-๿‐-‧่-ุ๋]")
+    """Whether NFC could change the text: it holds a character beyond Latin-1, Thai, plain punctuation and private use, or Thai marks out of their
+    canonical order (a vowel below after a tone, a dot below after either)."""
+    return c.rlike("[^\\x00-\\xff\\u0e00-\\u0e7f\\u200b-\\u200f\\u2010-\\u2027\\ue000-\\uf8ff\\ufeff]|[\\u0e48-\\u0e4b][\\u0e38-\\u0e3a]|[\\u0e38\\u0e39]\\u0e3a")
 
 
 def nfc(c: Column) -> Column:
-    return _nfc(c)
+    """NFC; only texts that it could change are sent to Python."""
+    return F.coalesce(_nfc(F.when(needs_nfc(c), c)), c)
 
 
 def normalize_unicode(c: Column) -> Column:

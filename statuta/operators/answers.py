@@ -33,9 +33,13 @@ def parsed(answers: DataFrame, question: str) -> DataFrame:
 
 def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     """Per document and question: a success never gives way to a failure, otherwise the newest stays."""
-    both = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
-    order = Window.partitionBy("doc", "question").orderBy(F.desc(F.coalesce("ok", F.lit(False))), F.desc("__new"), F.desc("version"))
-    return both.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n", "__new")
+    return newest(old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1))), "__new").drop("__new")
+
+
+def newest(every: DataFrame, by: str) -> DataFrame:
+    """The same over any number of generations, whose order is the column ``by``."""
+    order = Window.partitionBy("doc", "question").orderBy(F.desc(F.coalesce("ok", F.lit(False))), F.desc(by), F.desc("version"))
+    return every.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
 
 
 def latest_complete(answers: DataFrame, wanted: list[str] = QUESTIONS, exclude: str | None = None) -> DataFrame:

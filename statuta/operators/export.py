@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from statuta.functions.cells import MONTHS, cell_text, document_number, spaced_title, thai_date
 from statuta.functions.matching import coded, strip
 from statuta.operators import gazette, pages, penalties, places, units
+from statuta.sources.shared import remove, stage
 
 # The export's columns in order; several names end with a space.
 POSITION, FILE, TITLE = "ลำดับ", "ชื่อไฟล์ ", "ชื่อกฎหมาย"
@@ -47,8 +48,8 @@ def rules(documents: DataFrame, law_types: DataFrame | None = None) -> DataFrame
         "header",
         gazette.effective_date(F.col("text"), F.col("header.publish_date")).alias("effective"),
         F.when(gazette.narrative(F.col("kind")), F.lit(gazette.POLITICAL_OFFICE)).otherwise(F.lit("")).alias("audience"),
-        places.scope(F.col("text"), gazette.narrative(F.col("kind"))).alias("place"),
-        penalties.read(F.col("text"), F.coalesce(F.nullif("kind", F.lit("")), "law_type")).alias("penalty"),
+        places.binding(F.col("text"), gazette.narrative(F.col("kind"))).alias("place"),
+        penalties.severity(F.col("text"), F.coalesce(F.nullif("kind", F.lit("")), "law_type")).alias("penalty"),
         gazette.signal_codes(F.col("text")).alias("own_codes"),
         gazette.suppressed_codes(F.col("text")).alias("dead_codes"),
     )
@@ -62,11 +63,11 @@ def _long(df: DataFrame, values: dict[str, Column], source: Column, seq: Column)
     return df.select("doc", full.alias("p"), source.alias("source"), seq.alias("seq")).filter("p IS NOT NULL").select("doc", "p.column", "p.value", "source", "seq")
 
 
-def rule_cells(found: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """Cells (doc, column, value, source, seq) of ``rules``; ``stats`` adds the remark on unread pages."""
+def rule_values() -> dict[str, Column]:
+    """Column of the export -> its cell, over ``rules``."""
     h, d = F.col("header"), F.col("header.publish_date")
     source = F.concat(F.lit("ราชกิจจานุเบกษา เล่ม "), h["volume"], F.lit(" "), h["issue_kind"], F.lit(" "), h["issue"], F.lit(" หน้า "), F.coalesce(h["page"], F.lit("None")))
-    values = {
+    return {
         FILE: document_number(F.col("doc")),
         KIND: F.col("kind"),
         STATUS: F.lit(IN_FORCE),
@@ -81,16 +82,26 @@ def rule_cells(found: DataFrame, stats: DataFrame | None = None) -> DataFrame:
         RISK: penalties.risk_label(F.col("penalty.band")),
         PENALTY: penalties.penalty_text(F.col("penalty.band")),
     }
-    cells = _long(found, values, F.lit("rule"), F.lit(0))
+
+
+def rule_cells(found: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Cells (doc, column, value, source, seq) of ``rules``; ``stats`` adds the remark on unread pages."""
+    cells = _long(found, rule_values(), F.lit("rule"), F.lit(0))
     if stats is not None:
         cells = cells.unionByName(_long(pages.unread_cells(stats), {REMARK: F.col("note")}, F.lit("rule"), F.lit(0)))
     return cells
 
 
+def rule_rows(found: DataFrame) -> DataFrame:
+    """The table of ``rules`` alone. A document's cells stand in one row already, so nothing is grouped: one range sort numbers the rows."""
+    values = rule_values()
+    return finished(found.select("doc", *[(values[c] if c in values else F.lit(None).cast("string")).alias(c) for c in COLUMNS[1:]]))
+
+
 def diagnostics(found: DataFrame, unit_counts: DataFrame, stats: DataFrame) -> DataFrame:
     """What the rules noticed but never export."""
     joined = F.array_join
-    evidence = F.coalesce(F.nullif(joined("penalty.matched", ", "), F.lit("")), F.lit("ไม่พบคำบ่งชี้"))
+    evidence = F.coalesce(F.nullif(joined("penalty.phrases", ", "), F.lit("")), F.lit("ไม่พบคำบ่งชี้"))
     dash = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("-"))
     return (
         found.join(unit_counts, "doc", "left")
@@ -130,10 +141,13 @@ def answer_cells(answers: dict[str, DataFrame], audience: str = "split") -> Data
 
 
 def merge(cells: DataFrame) -> DataFrame:
-    """(doc, column, value, source): the rule's value if it has one, else the last answer's. One grouped aggregate."""
+    """(doc, column, value, source): the rule's value if it has one, else the last answer's.
+
+    Rows are dealt by document, which serves this grouping and the table's: one shuffle for both.
+    """
     full = F.col("value").isNotNull() & (F.col("value") != "")
     best = F.max_by(F.struct("value", "source"), F.struct((F.col("source") == "rule").alias("rule"), "seq"))
-    return cells.filter(full).groupBy("doc", "column").agg(best.alias("b")).select("doc", "column", "b.value", "b.source")
+    return cells.filter(full).repartition("doc").groupBy("doc", "column").agg(best.alias("b")).select("doc", "column", "b.value", "b.source")
 
 
 def source_counts(merged: DataFrame) -> DataFrame:
@@ -143,11 +157,15 @@ def source_counts(merged: DataFrame) -> DataFrame:
 
 
 def export_rows(merged: DataFrame) -> DataFrame:
-    """The 33 columns, a row per document; positions follow the order of documents.
+    """The 33 columns, a row per document; positions follow the order of documents."""
+    return finished(merged.filter(F.col("column").isin(COLUMNS[1:])).groupBy("doc").pivot("column", COLUMNS[1:]).agg(F.first("value")))
+
+
+def finished(wide: DataFrame) -> DataFrame:
+    """Positions, spaced titles and the marks of cells without a value, for rows of ``doc`` and the columns.
 
     The order comes from a range sort and the counts of its partitions, so numbering needs no single task.
     """
-    wide = merged.filter(F.col("column").isin(COLUMNS[1:])).groupBy("doc").pivot("column", COLUMNS[1:]).agg(F.first("value"))
     numbered = with_position(wide, "doc")
     cells = []
     for c in COLUMNS[1:]:
@@ -161,10 +179,16 @@ def export_rows(merged: DataFrame) -> DataFrame:
 
 
 def with_position(df: DataFrame, by: str) -> DataFrame:
-    """``position`` from 1 in the order of ``by`` (unique)."""
-    at = F.monotonically_increasing_id()
-    placed = df.repartitionByRange(by).sortWithinPartitions(by).withColumn("__part", F.shiftright(at, 33)).withColumn("__at", at.bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = placed.groupBy("__part").agg(F.count("*").alias("n"))
+    """``position`` from 1 in the order of ``by`` (unique).
+
+    Counts and rows must come from one range sort: a second one samples anew and cuts elsewhere. So the sorted rows are
+    written once, and both are read from that table. So are the rows before it, as the sort reads its input twice: for the cuts, and to deal it.
+    """
+    at, made = F.monotonically_increasing_id(), []
+    ordered = stage(df, "unordered", made).repartitionByRange(by).sortWithinPartitions(by).withColumn("__part", F.shiftright(at, 33)).withColumn("__at", at.bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = stage(ordered, "ordered")
+    remove(df.sparkSession, *made)
+    sizes = placed.groupBy("__part").agg(F.count("*").alias("n"))  # a row per partition
     before = sizes.select("__part", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     return placed.join(F.broadcast(before), "__part").withColumn("position", F.col("__before") + F.col("__at") + 1).drop("__part", "__at", "__before")
 

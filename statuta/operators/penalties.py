@@ -28,48 +28,49 @@ PENALTY_TEXT = {"RED": "มีโทษทางอาญา จำคุกห
 _NOT_NEGATED = "".join(rf"(?<!{n}[\s\S]{{0,{reach - len(n)}}})" for words, reach in ((NEGATIONS, NEGATION_REACH), (WEAK_NEGATIONS, WEAK_REACH)) for n in words)
 
 
-def found(text: Column, phrases: list[str]) -> Column:
+def unnegated(text: Column, phrases: list[str]) -> Column:
     """Phrases with a place that no negation precedes, in the list's order. A phrase is looked for before the costly pattern."""
     hits = [F.when(F.contains(text, F.lit(p)), F.when(text.rlike(f"(?={p}){_NOT_NEGATED}"), F.lit(p))) for p in phrases]
     return F.array_compact(F.array(*hits))
 
 
-def chapter(flat: Column, own: bool = False) -> Column:
+def chapter(joined: Column, own: bool = False) -> Column:
     """From the penalty chapter to the end of a text without white space; null if it has none.
 
-    As measured, it begins at the first chapter word before the heading; ``own`` begins at the heading's last such word.
+    As measured, it begins at the first chapter word that a heading follows, or at the first heading if that stands before it; ``own`` begins at the
+    heading's last such word.
     """
-    heading, first = F.locate(CHAPTER, flat), F.locate(CHAPTER_WORD, flat)
+    heading, first = F.locate(CHAPTER, joined), F.locate(CHAPTER_WORD, joined)
     if own:
-        before = F.left(flat, heading - 1)
+        before = F.left(joined, heading - 1)
         last = F.when(F.contains(before, F.lit(CHAPTER_WORD)), F.length(before) - F.length(F.substring_index(before, CHAPTER_WORD, -1)) - len(CHAPTER_WORD) + 1).otherwise(heading)
         start = last
     else:
-        after = F.instr(F.substring(flat, first + len(CHAPTER_WORD), F.length(flat)), CHAPTER)
-        start = F.when((first > 0) & (after > 0), first).otherwise(heading)
-    return F.when(heading > 0, F.substring(flat, start, F.length(flat)))
+        after = F.instr(F.substring(joined, first + len(CHAPTER_WORD), F.length(joined)), CHAPTER)
+        start = F.when((first > 0) & (after > 0), F.least(first, heading)).otherwise(heading)
+    return F.when(heading > 0, F.substring(joined, start, F.length(joined)))
 
 
-def read(text: Column, law_type: Column, own_chapter: bool = False) -> Column:
-    """struct(band, matched): the worst band whose phrases stand unnegated; UNKNOWN for narratives and for none."""
+def severity(text: Column, law_type: Column, own_chapter: bool = False) -> Column:
+    """struct(band, phrases): the worst band whose phrases stand unnegated; UNKNOWN for narratives and for none."""
 
     def band(name: str, words: Column) -> Column:
-        return F.struct(F.lit(name).alias("band"), words.alias("matched"))
+        return F.struct(F.lit(name).alias("band"), words.alias("phrases"))
 
-    def of(flat: Column) -> Column:
+    def of(own: Column) -> Column:
         out = F.when(F.lit(False), band("UNKNOWN", F.array().cast("array<string>")))
         for name, phrases in (("RED", RED), ("ORANGE", ORANGE), ("YELLOW", YELLOW), ("GREEN", GREEN)):
-            words = found(flat, phrases)
+            words = unnegated(own, phrases)
             out = out.when(F.size(words) > 0, band(name, words))
-        none = lambda phrases: F.size(found(flat, phrases)) == 0
-        out = out.when((F.size(found(flat, BLUE)) > 0) & none(BLUE_EXCLUDES), band("BLUE", found(flat, BLUE)))
-        out = out.when((F.size(found(flat, GREY)) > 0) & none(RED + ORANGE + YELLOW), band("GREY", found(flat, GREY)))
+        none = lambda phrases: F.size(unnegated(own, phrases)) == 0
+        out = out.when((F.size(unnegated(own, BLUE)) > 0) & none(BLUE_EXCLUDES), band("BLUE", unnegated(own, BLUE)))
+        out = out.when((F.size(unnegated(own, GREY)) > 0) & none(RED + ORANGE + YELLOW), band("GREY", unnegated(own, GREY)))
         return out.otherwise(band("UNKNOWN", F.array().cast("array<string>")))
 
     squeezed = F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", "")
-    flat = let(squeezed, lambda s: F.coalesce(chapter(s, own_chapter), s))
+    binding = let(squeezed, lambda s: F.coalesce(chapter(s, own_chapter), s))
     narrative = F.coalesce(law_type.isin(NARRATIVE_TYPES), F.lit(False))
-    return F.when(narrative, band("UNKNOWN", F.array().cast("array<string>"))).otherwise(let(flat, of))
+    return F.when(narrative, band("UNKNOWN", F.array().cast("array<string>"))).otherwise(let(binding, of))
 
 
 def risk_label(band: Column) -> Column:

@@ -42,11 +42,12 @@ def hide_citations(text: Column) -> Column:
     return F.when(text.rlike(CITED_TITLE), let(F.struct(gaps.alias("gaps"), find_all(text, CITED_TITLE).alias("hits")), blanked)).otherwise(text)
 
 
-def _starts_as_name(name: Column) -> Column:
-    out = F.lit(True)
-    for word in NOT_A_NAME:
-        out = out & ~name.startswith(word)
-    return out
+def _may_be_name(word: Column) -> Column:
+    return ~word.rlike(f"^(?:{'|'.join(NOT_A_NAME)})")
+
+
+def _is_district(word: Column) -> Column:
+    return ~word.isin(NOT_A_DISTRICT)
 
 
 def _trimmed(name: Column) -> Column:
@@ -56,66 +57,77 @@ def _trimmed(name: Column) -> Column:
     return name
 
 
-def read(title: Column, text: Column, provinces: list[str] = PROVINCES, districts: dict[str, str] | None = None) -> Column:
-    """struct(province, districts). ``districts`` (name -> province), if given, serves documents that name no province."""
-    none = F.array().cast(NAMES)
-    place = lambda p, d: F.struct(p.cast("string").alias("province"), d.cast(NAMES).alias("districts"))
+def _place(province: Column, districts: Column) -> Column:
+    return F.struct(province.cast("string").alias("province"), districts.cast(NAMES).alias("districts"))
+
+
+def _groups(text: Column, pattern: Column | str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(1))
+
+
+def _of_province(province: Column, text: Column) -> Column:
+    """The place of a province that the text names, with its districts; null for no province. Districts that stand by the province come first, then listed ones."""
+
+    def of(p: Column) -> Column:
+        beside_capital = _groups(text, rf"(?U)(?:เขต|อำเภอ)\s*([ก-๙]{{2,20}}?)\s+{CAPITAL}")
+        beside = _groups(text, F.concat(F.lit(r"(?U)อำเภอ\s*([ก-๙]{2,25}?)\s*จังหวัด\s*"), p))
+        listed = F.filter(F.transform(_groups(text, ENUMERATED), _trimmed), lambda n: _may_be_name(n) & (F.length(n) >= 3))
+        return _place(p, F.array_distinct(F.filter(F.concat(F.when(p == CAPITAL, beside_capital).otherwise(beside), listed), _is_district)))
+
+    return F.when(province.isNotNull(), let(province, of))
+
+
+def _of_capital_address(front: Column) -> Column:
+    """The capital, for a text whose front part gives an address in it."""
+    addresses = F.filter(_groups(front, CAPITAL_ADDRESS), _may_be_name)
+    return F.when(F.size(addresses) > 0, _place(F.lit(CAPITAL), F.array_distinct(F.filter(addresses, _is_district))))
+
+
+def _of_district(title: Column, front: Column, districts: dict[str, str]) -> Column:
+    """The place of the longest known district (name -> province) that is mentioned; short names must be the whole title."""
+    known = [(name, owner) for name, owner in sorted(districts.items(), key=lambda kv: -len(kv[0])) if name not in NOT_A_DISTRICT]
+    hits = []
+    for name, owner in known:
+        mentioned = strip(title) == name if len(name) < DISTINCTIVE else F.contains(front, F.lit(name)) | F.contains(title, F.lit(name))
+        hits.append(F.when(mentioned, _place(F.lit(owner), F.array(F.lit(name)))))
+    return F.coalesce(*hits) if hits else F.lit(None).cast("struct<province:string,districts:array<string>>")
+
+
+def locate(title: Column, text: Column, provinces: list[str] = PROVINCES, districts: dict[str, str] | None = None) -> Column:
+    """struct(province, districts): by the title, else by an address in the capital, else by the heading (all of a local authority's text), else by a
+    district of ``districts`` (name -> province)."""
+    nowhere = _place(F.lit(None), F.array())
     if not provinces:
-        return place(F.lit(None), none)
+        return nowhere
     named = rf"(?U)จังหวัด\s*({'|'.join(sorted(provinces, key=len, reverse=True))})"
-    first = lambda c: F.nullif(F.regexp_extract(c, named, 1), F.lit(""))
+    province_in = lambda c: F.nullif(F.regexp_extract(c, named, 1), F.lit(""))
 
     def of(x: Column) -> Column:
-        ttl, t = x["title"], x["text"]
-        head = F.left(t, F.lit(HEAD))
-        opening = F.when(F.length(t) < SHORT, t).otherwise(head)
-        by_title = F.coalesce(first(ttl), F.when(F.contains(ttl, F.lit(CAPITAL)), F.lit(CAPITAL)))
-        addresses = F.filter(F.regexp_extract_all(opening, F.lit(CAPITAL_ADDRESS), F.lit(1)), _starts_as_name)
-        in_capital = by_title.isNull() & (F.size(addresses) > 0) & F.lit(CAPITAL in provinces)
-        window = F.when(ttl.rlike(LOCAL_AUTHORITY), t).otherwise(head)
-        province = F.coalesce(by_title, first(window))
-        by_district = place(F.lit(None), none)
-        if districts:
-            chain = F.when(F.lit(False), place(F.lit(None), none))
-            for name, owner in sorted(districts.items(), key=lambda kv: -len(kv[0])):
-                if name in NOT_A_DISTRICT:
-                    continue
-                fits = F.contains(opening, F.lit(name)) | F.contains(ttl, F.lit(name))
-                if len(name) < DISTINCTIVE:
-                    fits = fits & (strip(ttl) == name)
-                chain = chain.when(fits, place(F.lit(owner), F.array(F.lit(name))))
-            by_district = chain.otherwise(by_district)
-
-        def around(p: Column) -> Column:
-            near_capital = F.regexp_extract_all(t, F.lit(rf"(?U)(?:เขต|อำเภอ)\s*([ก-๙]{{2,20}}?)\s+{CAPITAL}"), F.lit(1))
-            near = F.regexp_extract_all(t, F.concat(F.lit(r"(?U)อำเภอ\s*([ก-๙]{2,25}?)\s*จังหวัด\s*"), p), F.lit(1))
-            adjacent = F.filter(F.when(p == CAPITAL, near_capital).otherwise(near), lambda n: ~n.isin(NOT_A_DISTRICT))
-            listed = F.transform(F.regexp_extract_all(t, F.lit(ENUMERATED), F.lit(1)), _trimmed)
-            listed = F.filter(listed, lambda n: ~n.isin(NOT_A_DISTRICT) & _starts_as_name(n) & (F.length(n) >= 3))
-            return place(p, F.array_distinct(F.concat(adjacent, listed)))
-
-        return (
-            F.when(in_capital, place(F.lit(CAPITAL), F.array_distinct(F.filter(addresses, lambda n: ~n.isin(NOT_A_DISTRICT)))))
-            .when(province.isNotNull(), let(province, around))
-            .otherwise(by_district)
-        )
+        head = F.left(x["text"], F.lit(HEAD))
+        front = F.when(F.length(x["text"]) < SHORT, x["text"]).otherwise(head)
+        titled = F.coalesce(province_in(x["title"]), F.when(F.contains(x["title"], F.lit(CAPITAL)), F.lit(CAPITAL)))
+        heading = province_in(F.when(x["title"].rlike(LOCAL_AUTHORITY), x["text"]).otherwise(head))
+        candidates = [_of_province(titled, x["text"])]
+        candidates += [_of_capital_address(front)] * (CAPITAL in provinces)
+        candidates += [_of_province(heading, x["text"])]
+        candidates += [_of_district(x["title"], front, districts)] if districts else []
+        return F.coalesce(*candidates, nowhere)
 
     return let(F.struct(F.coalesce(title, F.lit("")).alias("title"), text.alias("text")), of)
 
 
-def scope(text: Column, narrative: Column, provinces: list[str] = PROVINCES) -> Column:
-    """Where the instrument binds: citations hidden, no districts of the capital, addresses dropped from a long list."""
-    nothing = F.struct(F.lit(None).cast("string").alias("province"), F.array().cast(NAMES).alias("districts"))
+def binding(text: Column, narrative: Column, provinces: list[str] = PROVINCES, districts: dict[str, str] | None = None) -> Column:
+    """Where the instrument binds: titles of other laws hidden, no districts of the capital, and addresses left out of a long list of districts."""
 
     def of(clean: Column) -> Column:
-        def keep(p: Column) -> Column:
-            outside = F.array_except(p["districts"], F.regexp_extract_all(clean, F.lit(TAMBON_ADDRESS), F.lit(1)))
-            left = F.when(p["province"] == CAPITAL, F.array().cast(NAMES)).when(F.size(p["districts"]) < SCHEDULE, p["districts"]).otherwise(outside)
-            return F.struct(p["province"].alias("province"), left.alias("districts"))
+        def bound(p: Column) -> Column:
+            beyond = F.array_except(p["districts"], _groups(clean, TAMBON_ADDRESS))
+            kept = F.when(F.size(p["districts"]) < SCHEDULE, p["districts"]).otherwise(beyond)
+            return _place(p["province"], F.when(p["province"] == CAPITAL, F.array().cast(NAMES)).otherwise(kept))
 
-        return let(read(F.lit(""), clean, provinces), keep)
+        return let(locate(F.lit(""), clean, provinces, districts), bound)
 
-    return F.when(F.coalesce(narrative, F.lit(False)), nothing).otherwise(let(hide_citations(text), of))
+    return F.when(F.coalesce(narrative, F.lit(False)), _place(F.lit(None), F.array())).otherwise(let(hide_citations(text), of))
 
 
 def province_cell(place: Column) -> Column:

@@ -1,6 +1,6 @@
 """Comparison of an exported table with a reference, cell by cell.
 
-Tables are compared in long form (key, column, value): the join is on both, so neither side is ever collected and any number of columns works.
+Tables are joined on their key while a document is one row, and compared in long form (key, column, theirs, ours) after that, so the join moves each document once and any number of columns works.
 """
 
 from __future__ import annotations
@@ -24,18 +24,13 @@ EXAMPLES, EXAMPLE_CHARS, WORST = 3, 60, 8
 
 
 def keyed_rows(table: DataFrame, order: str | None = None) -> DataFrame:
-    """``key`` and all columns: keys normalised, blank ones dropped, the first row of each kept (by ``order``, else as read)."""
+    """``key`` and all columns: keys normalised, blank ones dropped, the first row of each kept (by ``order``, else by content, so that
+    it doesn't depend on how rows were dealt)."""
     key = KEY_COLUMN if KEY_COLUMN in table.columns else table.columns[1]
     named = table.withColumn("key", norm(F.col(f"`{key}`"))).filter("key <> ''")
-    line = F.col(order) if order else F.monotonically_increasing_id()
-    ranked = named.withColumn("__line", line).withColumn("__n", F.row_number().over(Window.partitionBy("key").orderBy("__line")))
-    return ranked.filter("__n = 1").drop("__line", "__n")
-
-
-def long(table: DataFrame, columns: list[str]) -> DataFrame:
-    """(key, column, value) of a keyed table; missing values are empty."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias("value")) for c in columns])
-    return table.select("key", F.explode(pairs).alias("p")).select("key", "p.column", "p.value")
+    line = F.col(order) if order else F.struct(*[F.col(f"`{c}`") for c in table.columns])
+    ranked = named.withColumn("__n", F.row_number().over(Window.partitionBy("key").orderBy(line)))
+    return ranked.filter("__n = 1").drop("__n", *([order] if order == "__line" else []))
 
 
 def verdict(column: Column, theirs: Column, ours: Column) -> Column:
@@ -48,8 +43,9 @@ def verdict(column: Column, theirs: Column, ours: Column) -> Column:
 def compare(theirs: DataFrame, ours: DataFrame) -> DataFrame:
     """(key, column, theirs, ours, verdict) of every cell of shared documents and columns. Both tables have ``key``."""
     shared = [c for c in theirs.columns if c in ours.columns and c != "key"]
-    left, right = long(theirs, shared).withColumnRenamed("value", "theirs"), long(ours, shared).withColumnRenamed("value", "ours")
-    both = left.join(right, ["key", "column"])
+    wide = lambda t, side: t.select("key", F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in shared]).alias(side))
+    pairs = F.arrays_zip(F.array(*map(F.lit, shared)).alias("column"), F.col("theirs"), F.col("ours"))
+    both = wide(theirs, "theirs").join(wide(ours, "ours"), "key").select("key", F.explode(pairs).alias("p")).select("key", "p.column", "p.theirs", "p.ours")
     return both.withColumn("verdict", verdict(F.col("column"), F.col("theirs"), F.col("ours")))
 
 
@@ -63,32 +59,28 @@ def _count(v: str) -> Column:
 
 
 def column_tally(cells: DataFrame) -> DataFrame:
-    """Counts, credit and share by column, worst first, with examples; takes cells that ``with_examples`` marked."""
-    shown = F.when(F.col("verdict").isin("partial", "wrong"), F.struct("key", F.left(strip(F.col("theirs")), F.lit(EXAMPLE_CHARS)).alias("theirs"), F.left(strip(F.col("ours")), F.lit(EXAMPLE_CHARS)).alias("ours")))
-    tally = cells.groupBy("column").agg(_count("exact").alias("exact"), _count("partial").alias("partial"), _count("wrong").alias("wrong"), _count("blank").alias("both_blank"), _first_examples(shown).alias("examples"))
+    """Counts, credit and share by column."""
+    tally = cells.groupBy("column").agg(_count("exact").alias("exact"), _count("partial").alias("partial"), _count("wrong").alias("wrong"), _count("blank").alias("both_blank"))
     scored = F.col("exact") + F.col("partial") + F.col("wrong")
     out = tally.withColumn("scored", scored).withColumn("credit", F.col("exact") + F.lit(0.5) * F.col("partial"))
-    out = out.withColumn("share", F.coalesce(F.concat(F.bround(F.try_divide(F.col("credit") * 100, F.col("scored")), 0).cast("int").cast("string"), F.lit("%")), F.lit("—")))
-    return out.orderBy(F.desc(F.col("wrong") + F.lit(0.5) * F.col("partial")), "column")
-
-
-def _first_examples(shown: Column) -> Column:
-    """The marked cells in order: with_examples marks at most EXAMPLES a column."""
-    return F.slice(F.array_sort(F.collect_set(F.when(F.col("__few"), shown))), 1, EXAMPLES)
+    return out.withColumn("share", F.coalesce(F.concat(F.bround(F.try_divide(F.col("credit") * 100, F.col("scored")), 0).cast("int").cast("string"), F.lit("%")), F.lit("—")))
 
 
-def with_examples(cells: DataFrame) -> DataFrame:
-    """Marks, in each column, the few cells that its examples come from; partial top-k by document hash first, so no column sorts in one task."""
-    differs = cells.filter(F.col("verdict").isin("partial", "wrong")).select("key", "column")
-    part = differs.withColumn("__salt", F.pmod(F.xxhash64("key"), F.lit(64)))
-    local = part.withColumn("__n", F.row_number().over(Window.partitionBy("column", "__salt").orderBy("key"))).filter(F.col("__n") <= EXAMPLES)
-    few = local.withColumn("__n", F.row_number().over(Window.partitionBy("column").orderBy("key"))).filter(F.col("__n") <= EXAMPLES).select("key", "column", F.lit(True).alias("__few"))
-    return cells.join(few, ["key", "column"], "left").withColumn("__few", F.coalesce("__few", F.lit(False)))
+def examples(cells: DataFrame) -> DataFrame:
+    """(column, examples): the first few differing cells of each column by document. Each part of a column's documents gives its first ones,
+    so no column sorts in one task."""
+    shown = lambda c: F.left(strip(F.col(c)), F.lit(EXAMPLE_CHARS)).alias(c)
+    differs = cells.filter(F.col("verdict").isin("partial", "wrong")).select("key", "column", shown("theirs"), shown("ours"))
+    first = lambda df, *by: df.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy("key"))).filter(F.col("__n") <= EXAMPLES).drop("__n")
+    few = first(first(differs.withColumn("__salt", F.pmod(F.xxhash64("key"), F.lit(64))), "column", "__salt"), "column")
+    return few.groupBy("column").agg(F.array_sort(F.collect_list(F.struct("key", "theirs", "ours"))).alias("examples"))
 
 
 def column_table(cells: DataFrame) -> DataFrame:
-    """The tally of compared cells, with the first examples by document."""
-    return column_tally(with_examples(cells))
+    """The tally of compared cells, worst column first, with the first examples by document: two small results joined."""
+    both = column_tally(cells).join(F.broadcast(examples(cells)), "column", "left")
+    none = F.array().cast("array<struct<key:string,theirs:string,ours:string>>")
+    return both.withColumn("examples", F.coalesce("examples", none)).orderBy(F.desc(F.col("wrong") + F.lit(0.5) * F.col("partial")), "column")
 
 
 def document_scores(cells: DataFrame) -> DataFrame:

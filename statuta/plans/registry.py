@@ -11,6 +11,7 @@ from statuta.functions import budget, cells, thai_text
 from statuta.operators import answers, export, gazette, leaks, pages, penalties, places, scoring, tree, units
 from statuta.plans import corpus, fixtures
 from statuta.plans.fixtures import ANSWERS, CELLS, DAMAGED, OURS, PAGES, THEIRS, build
+from statuta.sources import saved, shared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +44,9 @@ def _corpus(columns: str) -> str:
     return f"SELECT {columns} FROM ({corpus.SQL}) AS c"
 
 
+_RISK = "CASE WHEN t_band IN ('RED', 'ORANGE', 'YELLOW', 'BLUE') THEN CASE t_band WHEN 'RED' THEN '🔴 แดง' WHEN 'ORANGE' THEN '🟠 ส้ม' WHEN 'YELLOW' THEN '🟡 เหลือง' ELSE '🔵 ฟ้า' END ELSE '⚪️ เทา' END"
+_PENALTY = "CASE t_band WHEN 'RED' THEN 'มีโทษทางอาญา จำคุกหรือปรับ' WHEN 'ORANGE' THEN 'โทษทางปกครอง แพ่ง หรือพินัย' WHEN 'YELLOW' THEN 'เสียสิทธิประโยชน์ / ผลทางนิติกรรม' WHEN 'BLUE' THEN 'ระเบียบภาครัฐ' ELSE '-' END"
+
 # ---- gazette: facts of a fixed format -------------------------------------------------------------------
 
 
@@ -94,28 +98,40 @@ def code_correct(spark, sf_dir):
 
 @query(_corpus("doc_id, t_band AS band, t_matched AS matched"))
 def penalty_band(spark, sf_dir):
-    d = corpus.documents(spark, sf_dir).select("doc_id", penalties.read(T(), gazette.kind(T())).alias("p"))
-    return d.select("doc_id", "p.band", F.array_join("p.matched", ",").alias("matched"))
+    d = corpus.documents(spark, sf_dir).select("doc_id", penalties.severity(T(), gazette.kind(T())).alias("p"))
+    return d.select("doc_id", "p.band", F.array_join("p.phrases", ",").alias("matched"))
 
 
-@query(_corpus("""doc_id, CASE WHEN k % 4 = 0 THEN NULL WHEN k % 4 = 1 THEN concat('หมวด๑', CAST(k AS STRING), 'หมวด๒บทกำหนดโทษจำคุก') WHEN k % 4 = 2 THEN concat('บทกำหนดโทษ', CAST(k AS STRING)) ELSE 'หมวด๓บทกำหนดโทษปรับ' END AS chapter,
-  CASE WHEN k % 4 = 0 THEN NULL WHEN k % 4 = 1 THEN 'หมวด๒บทกำหนดโทษจำคุก' WHEN k % 4 = 2 THEN concat('บทกำหนดโทษ', CAST(k AS STRING)) ELSE 'หมวด๓บทกำหนดโทษปรับ' END AS own"""))
+@query(_corpus("""doc_id, CASE WHEN k % 4 = 0 THEN NULL WHEN k % 4 = 1 THEN concat('หมวด๑', CAST(k AS STRING), 'หมวด๒บทกำหนดโทษจำคุก') WHEN k % 4 = 2 THEN concat('บทกำหนดโทษ', CAST(k AS STRING), 'หมวด๒บทกำหนดโทษ') ELSE 'หมวด๓บทกำหนดโทษปรับ' END AS chapter,
+  CASE WHEN k % 4 = 0 THEN NULL WHEN k % 4 = 1 THEN 'หมวด๒บทกำหนดโทษจำคุก' WHEN k % 4 = 2 THEN concat('บทกำหนดโทษ', CAST(k AS STRING), 'หมวด๒บทกำหนดโทษ') ELSE 'หมวด๓บทกำหนดโทษปรับ' END AS own"""))
 def penalty_chapter(spark, sf_dir):
     k = F.col("k").cast("string")
-    flat = F.when(F.col("k") % 4 == 0, F.concat(F.lit("หมวด๑"), k)).when(F.col("k") % 4 == 1, F.concat(F.lit("มาตราหมวด๑"), k, F.lit("หมวด๒บทกำหนดโทษจำคุก"))).when(F.col("k") % 4 == 2, F.concat(F.lit("ก"), F.lit("บทกำหนดโทษ"), k)).otherwise(F.lit("กขหมวด๓บทกำหนดโทษปรับ"))
+    flat = F.when(F.col("k") % 4 == 0, F.concat(F.lit("หมวด๑"), k)).when(F.col("k") % 4 == 1, F.concat(F.lit("มาตราหมวด๑"), k, F.lit("หมวด๒บทกำหนดโทษจำคุก"))).when(F.col("k") % 4 == 2, F.concat(F.lit("ก"), F.lit("บทกำหนดโทษ"), k, F.lit("หมวด๒บทกำหนดโทษ"))).otherwise(F.lit("กขหมวด๓บทกำหนดโทษปรับ"))
     d = corpus.documents(spark, sf_dir)
     return d.select("doc_id", penalties.chapter(flat).alias("chapter"), penalties.chapter(flat, own=True).alias("own"))
 
 
-@query(_corpus("doc_id, CASE WHEN t_band IN ('RED', 'ORANGE', 'YELLOW', 'BLUE') THEN CASE t_band WHEN 'RED' THEN '🔴 แดง' WHEN 'ORANGE' THEN '🟠 ส้ม' WHEN 'YELLOW' THEN '🟡 เหลือง' ELSE '🔵 ฟ้า' END ELSE '⚪️ เทา' END AS risk, CASE t_band WHEN 'RED' THEN 'มีโทษทางอาญา จำคุกหรือปรับ' WHEN 'ORANGE' THEN 'โทษทางปกครอง แพ่ง หรือพินัย' WHEN 'YELLOW' THEN 'เสียสิทธิประโยชน์ / ผลทางนิติกรรม' WHEN 'BLUE' THEN 'ระเบียบภาครัฐ' ELSE '-' END AS penalty"))
+@query(_corpus(f"doc_id, {_RISK} AS risk, {_PENALTY} AS penalty"))
 def risk_cells(spark, sf_dir):
-    d = corpus.documents(spark, sf_dir).select("doc_id", penalties.read(T(), gazette.kind(T()))["band"].alias("band"))
+    d = corpus.documents(spark, sf_dir).select("doc_id", penalties.severity(T(), gazette.kind(T()))["band"].alias("band"))
     return d.select("doc_id", penalties.risk_label(F.col("band")).alias("risk"), penalties.penalty_text(F.col("band")).alias("penalty"))
 
 
 @query(_corpus("doc_id, t_province AS province, t_district AS district"))
 def place_scope(spark, sf_dir):
-    d = corpus.documents(spark, sf_dir).select("doc_id", places.scope(T(), gazette.narrative(gazette.kind(T()))).alias("p"))
+    d = corpus.documents(spark, sf_dir).select("doc_id", places.binding(T(), gazette.narrative(gazette.kind(T()))).alias("p"))
+    return d.select("doc_id", places.province_cell(F.col("p")).alias("province"), places.district_cell(F.col("p")).alias("district"))
+
+
+@query("""SELECT o_orderkey AS doc_id, CASE o_orderkey % 5 WHEN 0 THEN 'ราชบุรี' WHEN 1 THEN 'น่าน' WHEN 2 THEN 'เลย' WHEN 3 THEN '-' ELSE 'ตาก' END AS province,
+  CASE o_orderkey % 5 WHEN 0 THEN 'บ้านโป่งแก้ว' WHEN 1 THEN 'ปัว' WHEN 4 THEN 'บ้านโป่ง' ELSE '-' END AS district FROM orders""")
+def place_by_district(spark, sf_dir):
+    """Documents that name no province, by a table of districts: the longest name counts, a short one only as the whole title, and a named province before either."""
+    k = F.col("o_orderkey")
+    title = F.when(k % 5 == 1, F.lit(" ปัว ")).when(k % 5 == 3, F.lit("ตลาดปัว")).otherwise(F.lit(""))
+    text = F.when(k % 5 == 0, F.lit("ตลาดบ้านโป่งแก้ว ")).when(k % 5 == 2, F.lit("จังหวัดเลย ใกล้บ้านโป่งแก้ว ")).when(k % 5 == 4, F.lit("ถนนบ้านโป่ง ")).otherwise(F.lit("ถนน "))
+    found = places.locate(title, F.concat(text, k.cast("string")), districts={"บ้านโป่ง": "ตาก", "บ้านโป่งแก้ว": "ราชบุรี", "ปัว": "น่าน", "พื้นที่": "แพร่"})
+    d = _table(spark, sf_dir, "orders").select(k.alias("doc_id"), found.alias("p"))
     return d.select("doc_id", places.province_cell(F.col("p")).alias("province"), places.district_cell(F.col("p")).alias("district"))
 
 
@@ -308,9 +324,36 @@ def export_rows(spark, sf_dir):
     return export.export_rows(export.merge(build(spark, sf_dir, CELLS)))
 
 
-@query(None)
+def _gazette_sql() -> str:
+    found = {
+        export.FILE: "CASE WHEN length(CAST(doc_id AS STRING)) >= 5 THEN substr(CAST(doc_id AS STRING), 1, 6) ELSE CAST(doc_id AS STRING) END",
+        export.KIND: "t_kind",
+        export.STATUS: f"'{export.IN_FORCE}'",
+        export.DAY: "CAST(day(t_published) AS STRING)",
+        export.MONTH: corpus.case("month(t_published) - 1", corpus.text_list(cells.MONTHS)),
+        export.YEAR: "CAST(year(t_published) + 543 AS STRING)",
+        export.SOURCE: "concat('ราชกิจจานุเบกษา เล่ม ', t_volume, ' ตอนที่ ', t_issue, ' หน้า ', t_page)",
+        export.EFFECTIVE: "t_effective_cell",
+        export.AUDIENCE: "t_audience",
+        export.PROVINCE: "t_province",
+        export.DISTRICT: "t_district",
+        export.RISK: _RISK,
+        export.PENALTY: _PENALTY,
+    }
+    shown = ", ".join(f"""{found.get(c, "'-'" if c in export.NONE_IS_AN_ANSWER else "''")} AS "{c}\"""" for c in export.COLUMNS[1:])
+    return _corpus(f"""CAST(doc_id AS STRING) AS doc, CAST(row_number() OVER (ORDER BY CAST(doc_id AS STRING)) AS STRING) AS "{export.POSITION}", {shown}""")
+
+
+@query(_gazette_sql())
 def gazette_export(spark, sf_dir):
-    """The whole rule path: documents to the table of 33 columns (checked column by column by the queries above)."""
+    """The whole rule path: documents to the table of 33 columns."""
+    docs = corpus.documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc"), "text")
+    return export.rule_rows(export.rules(docs))
+
+
+@query(_gazette_sql())
+def gazette_cells_export(spark, sf_dir):
+    """The same by way of cells: rules as cells, merged, pivoted and numbered, as a run with answers goes."""
     docs = corpus.documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc"), "text")
     return export.export_rows(export.merge(export.rule_cells(export.rules(docs))))
 
@@ -344,8 +387,8 @@ def latest_complete_run(spark, sf_dir):
     return answers.latest_complete(build(spark, sf_dir, ANSWERS), ["identity", "parent"])
 
 
-@query(f"""WITH a AS ({ANSWERS}), l AS ({_LATEST}), u AS (SELECT * FROM a WHERE ok AND value IS NOT NULL), q AS (SELECT CAST(o_orderkey AS STRING) AS doc, question FROM orders CROSS JOIN (VALUES ('identity'), ('parent'), ('audience')) AS v(question)),
-own AS (SELECT doc, question, value FROM u WHERE run = 'run-2' AND question = 'audience'), lent AS (SELECT u.doc, u.question, u.value FROM u JOIN l ON l.doc = u.doc AND l.run = u.run)
+@query(f"""WITH a AS MATERIALIZED ({ANSWERS}), l AS MATERIALIZED ({_LATEST}), u AS MATERIALIZED (SELECT * FROM a WHERE ok AND value IS NOT NULL), q AS MATERIALIZED (SELECT CAST(o_orderkey AS STRING) AS doc, question FROM orders CROSS JOIN (VALUES ('identity'), ('parent'), ('audience')) AS v(question)),
+own AS MATERIALIZED (SELECT doc, question, value FROM u WHERE run = 'run-2' AND question = 'audience'), lent AS MATERIALIZED (SELECT u.doc, u.question, u.value FROM u JOIN l ON l.doc = u.doc AND l.run = u.run)
 SELECT q.doc, q.question, coalesce(own.value, lent.value) AS value, CASE WHEN own.value IS NOT NULL THEN 'own' WHEN lent.value IS NOT NULL THEN 'borrowed' ELSE 'ask' END AS origin
 FROM q LEFT JOIN own ON own.doc = q.doc AND own.question = q.question LEFT JOIN lent ON lent.doc = q.doc AND lent.question = q.question""")
 def borrow_answers(spark, sf_dir):
@@ -470,6 +513,15 @@ def unread_note(spark, sf_dir):
     return pages.unread_cells(pages.page_stats(build(spark, sf_dir, PAGES)))
 
 
+@query(f"SELECT doc, page, text, source, has_image FROM ({PAGES}) AS p")
+def saved_pages(spark, sf_dir):
+    """Pages written as JSON records and read back."""
+    path = shared.scratch(spark, "records")
+    saved.write_records(build(spark, sf_dir, PAGES), path)
+    shared.at_end(spark, path)
+    return saved.saved_pages(spark, path)
+
+
 @query("SELECT o_orderkey AS doc_id, o_orderkey % 3 = 0 AS picture, o_orderkey % 2 = 0 AS needs_ocr, o_orderkey % 5 = 0 AS scanned FROM orders")
 def page_predicates(spark, sf_dir):
     k = F.col("o_orderkey")

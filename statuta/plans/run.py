@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.operators import answers, export, pages, scoring, units
+from statuta.plans import progress
 from statuta.sources import saved
 
 # Names of kept runs and of their tables' columns.
@@ -115,16 +116,22 @@ def etl(spark: SparkSession, source: str, root: str, expected: str | None = None
     read = None if todo.isEmpty() else pdf.documents(spark, source, ocr=ocr, mode=mode).join(todo.select("doc"), "doc", "left_semi")
     table = read if known is None else known if read is None else known.unionByName(read)
     result.mkdir(parents=True, exist_ok=True)
-    saved.write_pages(table, str(result / "pages"))
+    with progress.step("read") as said:
+        text = F.col("text")
+        saved.write_pages(said.watch(table, pages=F.count("*"), characters=F.sum(F.length(text)), recognised=F.count_if(F.col("source") != pages.TEXT_LAYER)), str(result / "pages"))
     table = spark.read.parquet(str(result / "pages"))
     given = saved.saved_answers(spark, answer_path) if answer_path else None
-    merged = scan(table, given)
-    merged.write.mode("overwrite").parquet(str(result / "cells"))
-    saved.write_export(export.export_rows(spark.read.parquet(str(result / "cells"))), str(result / "result.csv"))
+    with progress.step("merge") as said:
+        by = lambda kind: F.count_if(F.col("source").startswith(kind))
+        said.watch(scan(table, given), cells=F.count("*"), rule=by("rule"), model=by("llm:")).write.mode("overwrite").parquet(str(result / "cells"))
+    with progress.step("export") as said:
+        n = saved.write_export(export.export_rows(spark.read.parquet(str(result / "cells"))), str(result / "result.csv"))
+        said.words.append(f"rows {n:,}")
     if not expected or not Path(expected).exists():
         return result, ""
     use = answers.usage(given) if given is not None else None
-    return result, record(spark, expected, str(result / "result.csv"), result, compare, use)
+    with progress.step("compare"):
+        return result, record(spark, expected, str(result / "result.csv"), result, compare, use)
 
 
 def kept_runs(root: str, cache: str | None = None) -> list[tuple[int, Path]]:

@@ -1,7 +1,7 @@
 """Answers of a language model, as a provider on the executors or replayed from a table.
 
-A provider is ``make() -> (prompt, body, schema) -> (json text, input, cached, output)``, made once a partition. Without one, answers are replayed. No key
-or prompt is logged.
+``make()`` gives a provider, once a partition: ``answer(prompt, handle, body, schema) -> (json text, input, cached, output)``, and, if it can keep prompts,
+``keep(prompt) -> handle``, which then stands for the prompt. Without a provider, answers are replayed. No key or prompt is logged.
 """
 
 from __future__ import annotations
@@ -14,14 +14,15 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from statuta.functions.budget import fit
 from statuta.operators.answers import BUDGETS, SCHEMAS
 
 SCHEMA = "doc string, question string, ok boolean, value string, error string, input long, cached long, output long, ms long"
 ATTEMPTS, TIMEOUT_WORDS = 3, ("timeout", "timedout", "deadline")
-PRUNED = ("additionalProperties", "$schema", "title", "default", "examples")
-Call = Callable[[str, str, str], tuple[str, int, int, int]]
+PRUNED = ("additionalProperties", "$schema", "definitions", "$defs", "title")
+Call = Callable[[str, str, dict], tuple[str, int, int, int]]
 
 
 def find_key(names: list[str], env_file: str | None = None) -> str | None:
@@ -50,7 +51,10 @@ class PromptCache:
         handle, until = self.known.get(key, ("", 0.0))
         if handle is None or self.clock() < until - self.margin:
             return handle
-        handle = self.make(prompt_)
+        try:
+            handle = self.make(prompt_)
+        except Exception:  # a provider that keeps no prompts still answers
+            handle = None
         self.known[key] = (handle, self.clock() + self.lifetime)
         return handle
 
@@ -65,22 +69,56 @@ def timed_out(error: BaseException) -> bool:
 
 
 def pruned(schema):
-    """A JSON schema without keys that a provider may refuse."""
-    if isinstance(schema, dict):
-        return {k: pruned(v) for k, v in schema.items() if k not in PRUNED}
-    return [pruned(v) for v in schema] if isinstance(schema, list) else schema
+    """A JSON schema without keys that a provider may refuse. Names of properties are no such keys."""
+    if isinstance(schema, list):
+        return [pruned(v) for v in schema]
+    if not isinstance(schema, dict):
+        return schema
+    return {k: {n: pruned(x) for n, x in v.items()} if k == "properties" else pruned(v) for k, v in schema.items() if k not in PRUNED}
+
+
+def json_schema(question: str) -> dict:
+    """The shape of a question's answer as a JSON schema."""
+
+    def of(t) -> dict:
+        if isinstance(t, StructType):
+            return {"type": "object", "properties": {f.name: of(f.dataType) for f in t.fields}, "additionalProperties": False}
+        if isinstance(t, ArrayType):
+            return {"type": "array", "items": of(t.elementType)}
+        return {"type": "number" if t.typeName() == "double" else "string"}
+
+    return {"title": question, **of(StructType.fromDDL(SCHEMAS[question]))}
+
+
+class Session:
+    """A provider with its kept prompts: a handle goes instead of the prompt, and one that the provider has lost is forgotten and the prompt sent."""
+
+    def __init__(self, provider):
+        self.provider = provider
+        self.cache = PromptCache(provider.keep) if hasattr(provider, "keep") else None
+
+    def __call__(self, prompt_: str, body: str, schema: dict) -> tuple[str, int, int, int]:
+        handle = self.cache.get(prompt_) if self.cache else None
+        if handle is not None:
+            try:
+                return self.provider.answer(None, handle, body, schema)
+            except Exception as e:
+                if "cache" not in f"{type(e).__name__}{e}".lower():
+                    raise
+                self.cache.lost(prompt_)
+        return self.provider.answer(prompt_, None, body, schema)
 
 
 def prompt(template: str, taxonomy: str = "") -> str:
     return template.replace("{{taxonomy}}", taxonomy)
 
 
-def ask_one(call: Call, prompt_: str, body: str, question: str) -> tuple:
+def ask_one(call: Call, prompt_: str, body: str, schema: dict) -> tuple:
     """(ok, value, error, input, cached, output, ms): time-outs and answers that are no JSON are tried again."""
     began, error = time.monotonic(), ""
     for _ in range(ATTEMPTS):
         try:
-            value, *tokens = call(prompt_, body, SCHEMAS[question])
+            value, *tokens = call(prompt_, body, schema)
             json.loads(value)
             return (True, value, None, *tokens, int(1000 * (time.monotonic() - began)))
         except ValueError as e:
@@ -92,15 +130,17 @@ def ask_one(call: Call, prompt_: str, body: str, question: str) -> tuple:
     return (False, None, error, 0, 0, 0, int(1000 * (time.monotonic() - began)))
 
 
-def ask(documents: DataFrame, questions: list[str], prompts: dict[str, str], make: Callable[[], Call]) -> DataFrame:
+def ask(documents: DataFrame, questions: list[str], prompts: dict[str, str], make: Callable[[], object]) -> DataFrame:
     """Answers to each question about each (doc, text), each text within the question's budget."""
     bodies = F.array(*[F.struct(F.lit(q).alias("question"), fit(F.col("text"), *BUDGETS[q]).alias("body")) for q in questions])
     asked = documents.select("doc", F.explode(bodies).alias("a")).select("doc", "a.question", "a.body")
 
+    shapes = {q: pruned(json_schema(q)) for q in questions}
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = make()
+        call = Session(make())
         for frame in frames:
-            rows = [(d, q, *ask_one(call, prompts[q], b, q)) for d, q, b in frame.itertuples(index=False)]
+            rows = [(d, q, *ask_one(call, prompts[q], b, shapes[q])) for d, q, b in frame.itertuples(index=False)]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return asked.mapInPandas(run, SCHEMA)

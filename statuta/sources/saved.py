@@ -30,7 +30,9 @@ def listed(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
 
 def saved_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages (doc, page, text, source, has_image) of saved JSON records; older records without has_image count as without pictures."""
-    records = spark.read.schema(SAVED).option("multiLine", "true").json(path)
+    one = lambda pattern, whole: spark.read.schema(SAVED).option("multiLine", whole).option("pathGlobFilter", pattern).json(path)
+    # A .json file is one record over any number of lines; written records are a line each.
+    records = one("*.json", "true").unionByName(one("*.txt", "false"))
     pages = records.select(F.col("number").alias("doc"), F.explode("pages").alias("p"))
     return pages.select("doc", F.col("p.number").alias("page"), F.coalesce("p.text", F.lit("")).alias("text"), F.col("p.source").alias("source"), F.coalesce("p.has_image", F.lit(False)).alias("has_image"))
 

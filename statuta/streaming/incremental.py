@@ -32,11 +32,20 @@ def cells(spark: SparkSession, out: str) -> DataFrame:
 
 
 def answer_stream(spark: SparkSession, arriving: str, schema: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Answers upserted into versioned tables: batch n reads version n - 1 and writes version n, so a repeated batch gives the same table."""
+    """Answers as they arrive, each batch in its own folder, so what is written is what came. A repeated batch overwrites its own folder; ``current`` upserts."""
     new = spark.readStream.schema(schema).parquet(arriving)
 
     def write(batch: DataFrame, number: int) -> None:
-        done = batch.limit(0) if number == 0 else spark.read.schema(batch.schema).parquet(f"{out}/v{number - 1}")
-        answers.upsert(done, batch).write.mode("overwrite").parquet(f"{out}/v{number}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return new.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, out: str) -> DataFrame:
+    """The answers after all batches: a success never gives way to a failure, otherwise the newest batch's stays."""
+    return answers.newest(spark.read.parquet(out), "batch").drop("batch")
+
+
+def compact(spark: SparkSession, out: str, to: str) -> None:
+    """The current answers as one batch of a new folder, which a stream goes on from."""
+    current(spark, out).write.mode("overwrite").parquet(f"{to}/batch=-1")

@@ -19,6 +19,9 @@ def test_saved_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("100034", 1, "หนึ่ง", "ocr", True), ("100034", 2, "สอง" * 100, "text-layer", False)], PAGE)
     saved.write_records(df, str(tmp_path / "s"))
     assert sorted(saved.saved_pages(spark, str(tmp_path / "s")).collect()) == sorted(df.collect())
+    many = spark.range(50).selectExpr("CAST(id AS STRING) AS doc", "1 AS page", "'x' AS text", "'ocr' AS source", "false AS has_image")
+    saved.write_records(many.coalesce(1), str(tmp_path / "many"))
+    assert saved.saved_pages(spark, str(tmp_path / "many")).count() == 50
     (tmp_path / "old.json").write_text(json.dumps({"number": "1", "pages": [{"number": 1, "source": "ocr", "text": "x"}]}))
     assert saved.saved_pages(spark, str(tmp_path / "old.json")).first()["has_image"] is False
 
@@ -99,7 +102,7 @@ def test_pdf_rows(spark, tmp_path):
     assert {r["doc"] for r in saved.listed(spark, str(tmp_path)).collect()} == {"100034", "100035"}
 
 
-def test_ask_retries():
+def test_ask_retries(spark):
     calls = []
 
     def call(prompt, body, schema):
@@ -108,7 +111,7 @@ def test_ask_retries():
             raise TimeoutError()
         return ("{}", 5, 1, 2) if len(calls) == 3 else ("no json", 0, 0, 0)
 
-    ok, value, error, *tokens, _ = ask.ask_one(call, "p", "b", "identity")
+    ok, value, error, *tokens, _ = ask.ask_one(call, "p", "b", ask.pruned(ask.json_schema("identity")))
     assert ok and value == "{}" and tokens == [5, 1, 2] and len(calls) == 3
     assert ask.timed_out(TimeoutError()) and not ask.timed_out(ValueError())
 
@@ -129,6 +132,62 @@ def test_keys_and_prompt_cache(tmp_path, monkeypatch):
     assert refused.get("y" * 3000) is None and refused.get("y" * 3000) is None and len(made) == before + 1
 
 
+def test_ask_keeps_prompts(spark):
+    class Provider:
+        def __init__(self):
+            self.lost = False
+
+        def keep(self, prompt):
+            return f"h{len(prompt)}"
+
+        def answer(self, prompt, handle, body, schema):
+            if handle and not self.lost:
+                self.lost = True
+                raise RuntimeError("cached content not found")
+            return json.dumps({"title": f"{prompt is None}|{handle}|{body}|{sorted(schema)}|{sorted(schema['properties'])[-1]}"}), 1, 0, 1
+
+    docs = spark.createDataFrame([("a", "x"), ("b", "y")], "doc string, text string").coalesce(1)
+    rows = ask.ask(docs, ["identity"], {"identity": "p" * 3000}, Provider).collect()
+    assert [r["error"] for r in rows] == [None, None]
+    got = {r["doc"]: json.loads(r["value"])["title"] for r in rows}
+    assert got == {"a": "False|None|x|['properties', 'type']|title", "b": "True|h3000|y|['properties', 'type']|title"}
+
+
+def test_progress_lines(spark, caplog):
+    from statuta.plans import progress
+
+    with caplog.at_level("INFO", logger="statuta.progress"):
+        with progress.step("read") as said:
+            assert said.watch(spark.range(1234), rows=F.count("*")).count() == 1234
+        with pytest.raises(KeyError), progress.step("merge"):
+            raise KeyError
+    assert "read" in caplog.messages[0] and "rows 1,234" in caplog.messages[0] and "KeyError" in caplog.messages[1]
+
+
+def test_positions_over_many_partitions(spark):
+    """Wide rows whose range sort has other cuts for narrow ones: none is lost, positions follow the documents."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        for k, v in zip(old, ("16", "true", "1m"), strict=True):
+            spark.conf.set(k, v)
+        wide = spark.range(60_000).selectExpr("CAST(hash(id) AS STRING) || '-' || id AS doc", "array_join(transform(sequence(1, 20), i -> sha2(concat(id, i), 256)), '') AS filler")
+        got = export.with_position(wide, "doc")
+        assert len(got.inputFiles()) > 8
+        r = got.agg(F.count("*").alias("n"), F.countDistinct("position").alias("d"), F.min("position").alias("a"), F.max("position").alias("b")).first()
+        assert tuple(r) == (60_000, 60_000, 1, 60_000)
+        ordered = got.select("doc", "position").toPandas().sort_values("doc")
+        assert ordered["position"].tolist() == list(range(1, 60_001))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_rules_go_into_rows_as_into_cells(spark):
+    d = spark.createDataFrame([("100034", "ประกาศ เล่ม 137 ตอนที่ 14 ก ราชกิจจานุเบกษา 21 กุมภาพันธ์ 2563"), ("7", None), ("100035", "ระเบียบ จำคุก")], "doc string, text string")
+    found = export.rules(d)
+    assert sorted(export.rule_rows(found).collect()) == sorted(export.export_rows(export.merge(export.rule_cells(found))).collect())
+
+
 def test_scan_with_answers(spark):
     pages_ = spark.createDataFrame([("100034", 1, "คำพิพากษา คดีหมายเลขดำที่ อม. 7/2561", "ocr", False)], PAGE)
     rows = [("identity", '{"title": "ฎีกา", "lawType": "COURT_RULING"}'), ("business", '{"core": ["CC1", "CC4"], "support": []}')]
@@ -152,7 +211,9 @@ def test_streams(spark, tmp_path):
     for n, row in enumerate([("a", "q", True, "1", 1), ("a", "q", False, None, 2)]):
         spark.createDataFrame([row], schema).write.mode("append").parquet(str(tmp_path / "ans"))
         incremental.answer_stream(spark, str(tmp_path / "ans"), schema, str(tmp_path / "tab"), str(tmp_path / "cp2")).awaitTermination()
-    assert [r["value"] for r in spark.read.parquet(str(tmp_path / "tab/v1")).collect()] == ["1"]
+    assert [r["value"] for r in incremental.current(spark, str(tmp_path / "tab")).collect()] == ["1"]
+    incremental.compact(spark, str(tmp_path / "tab"), str(tmp_path / "small"))
+    assert [r["value"] for r in incremental.current(spark, str(tmp_path / "small")).collect()] == ["1"]
 
 
 def test_tree(spark):
