@@ -38,7 +38,7 @@ def stage(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again. ``made`` collects the paths that the caller removes; what
     nobody removes, since a result still reads it, goes when the session's process ends."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     if made is not None:
         made.append(path)
     at_end(spark, path)
