@@ -2,48 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL: list[str] = []
+from statuta.sources.shared import at_end, make, remove, scratch, shared_dir, stage
+
+__all__ = ["at_end", "by_ids", "let", "make", "places", "remove", "running", "scratch", "shared_dir", "spans_text", "stage", "substrings", "table", "text_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
-
-    Only where the setting is absent (tests on one machine) a temporary folder is made.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="statuta-"))
-        atexit.register(shutil.rmtree, _LOCAL[0], True)
-    return f"file://{_LOCAL[0]}"
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
-    """Cut the lineage: write ``df`` as a table in the shared folder and read it again. ``made`` collects the paths that the caller removes."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    if made is not None:
-        made.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Ids that a broadcast may hold: some 40 MB as a hash table.
 MOST_IDS = 1_000_000
 
@@ -55,13 +27,6 @@ def by_ids(df: DataFrame, key: Column, ids: DataFrame, how: str) -> DataFrame:
     return df.join(small, key == small["id"], how)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder through the file system that holds it."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def let(value: Column, body) -> Column:
     """``body(x)`` with ``x`` bound to ``value``, which is then evaluated once a row.
 
@@ -75,28 +40,50 @@ def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("string")
 
 
+def running(x: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """``join`` over each element and all before it, for an associative ``join``; null joins as nothing must.
+
+    Doubling: in round d each element takes in the one d places before it, so n elements take n log n steps, where an array
+    that grows by one element a step would be copied n times.
+    """
+    powers = F.when(F.size(x) > 1, F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(x).cast("double"))).cast("int") - 1), lambda k: F.pow(F.lit(2.0), k).cast("int")))
+    return F.aggregate(F.coalesce(powers, F.array().cast("array<int>")), x, lambda acc, d: F.transform(acc, lambda v, i: F.when(i >= d, join(F.get(acc, i - d), v)).otherwise(v)))
+
+
 def places(text: Column, pattern: Column | str, group: int = 0) -> Column:
     """All leftmost non-overlapping matches with code-point offsets: array<struct<start,end,value>>; value is that group.
 
     Built-in functions give no offsets, so they are summed over the gaps that ``split`` leaves and the matches between them.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("hit"), *([F.regexp_extract_all(text, pattern, F.lit(group)).alias("value")] if group else []))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
-
-    def add(acc: Column, x: Column) -> Column:
-        return F.when(x["hit"].isNull(), acc).otherwise(
-            let(
-                acc["at"] + F.length(x["gap"]),
-                lambda start: F.struct(
-                    (start + F.length(x["hit"])).alias("at"),
-                    F.concat(acc["out"], F.array(F.struct(start.alias("start"), (start + F.length(x["hit"])).alias("end"), (x["value"] if group else x["hit"]).alias("value")))).alias("out"),
-                ),
-            )
-        )
-
-    return F.aggregate(parts, empty, add, lambda acc: acc["out"])
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
+    hits = F.regexp_extract_all(text, pattern, F.lit(0))
+    values = F.regexp_extract_all(text, pattern, F.lit(group)) if group else None
+
+    def summed(x: Column) -> Column:
+        steps = F.transform(x["hits"], lambda h, i: F.get(x["gaps"], i) + F.length(h))
+        return let(running(steps, lambda a, b: a + b), lambda ends: F.transform(x["hits"], lambda h, i: F.struct((F.get(ends, i) - F.length(h)).alias("start"), F.get(ends, i).alias("end"), (F.get(x["values"], i) if group else h).alias("value"))))
+
+    return let(F.struct(gaps.alias("gaps"), hits.alias("hits"), *([values.alias("values")] if group else [])), summed)
+
+
+#: Characters in the pieces that ``substrings`` cuts from.
+PIECE = 1024
+
+
+def substrings(text: Column, cuts: Column) -> Column:
+    """array<string> of the pieces [start, end) of ``cuts`` (array<struct<start,end>>, code points). A code point is found by
+    counting from a string's beginning, so a long text is cut into short pieces once and each substring is taken from them."""
+
+    def of(pieces: Column) -> Column:
+        def one(c: Column) -> Column:
+            first = F.floor(c["start"] / PIECE).cast("int")
+            some = F.slice(pieces, first + 1, F.floor((c["end"] - 1) / PIECE).cast("int") - first + 1)
+            return F.when(c["end"] > c["start"], F.substring(F.array_join(some, ""), c["start"] % PIECE + 1, c["end"] - c["start"])).otherwise("")
+
+        return F.transform(cuts, one)
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), of)
 
 
 def spans_text(spans: Column) -> Column:
