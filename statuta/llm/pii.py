@@ -13,7 +13,8 @@ The same detectors run on the result, and each normalised span maps back to sour
 it overlaps a base span of its kind. All base spans stay.
 
 Offsets are code points, ends exclusive. A null text counts as empty and has no spans. Repeated rows are scanned alike, an
-empty table gives an empty result, and other columns of the input are ignored. All scans are linear in the text.
+empty table gives an empty result, and other columns of the input are ignored. Scans, edits and maps are linear in the text, whatever
+its length, and a disguised identifier may be of any length; of spans of one kind that begin together none is dropped.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,7 +114,7 @@ _BRACKETED_DOT = rf"\x20*[\[({{<]\x20*(?:{_DOT_WORDS})\x20*[\])}}>]\x20*"
 _ANY_DOT = rf"(?:{_BRACKETED_DOT}|\x20+(?:dot|punkt|punto)\x20+|\.)"
 _MAIL = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:{_BRACKETED_DOT}|\x20dot\x20|\.)[A-Za-z0-9_%+-]+){{0,3}}"
-    rf"(?:{_BRACKETED_AT}[A-Za-z0-9-]+(?:{_ANY_DOT}[A-Za-z0-9-]+)*?{_ANY_DOT}[A-Za-z]{{2,}}"
+    rf"(?:{_BRACKETED_AT}[A-Za-z0-9-]+(?:{_ANY_DOT}[A-Za-z0-9-]+)*{_ANY_DOT}[A-Za-z]{{2,}}"
     rf"|(?:\x20+at\x20+(?!(?:the|an?|this|that|my|our|your|his|her|its|their|every|each|one)\x20)|@)[A-Za-z0-9-]+(?:(?:{_BRACKETED_DOT}|\x20dot\x20|\.)[A-Za-z0-9-]+)*(?:{_BRACKETED_DOT}|\x20+dot\x20+)(?:{ENDINGS}))(?![A-Za-z0-9-])"
 )
 _MAIL_GATE = re.compile(rf"(?i)[\[({{<]\x20*(?:{_AT_WORDS}|{_DOT_WORDS})\x20*[\])}}>]|\x20dot\x20")
@@ -121,65 +123,88 @@ _MAIL_DOT = re.compile(rf"(?i){_BRACKETED_DOT}|\x20+(?:dot|punkt|punto)\x20+")
 # Four groups of digits with dots between, which may be disguised.
 _IP_MASKED = re.compile(rf"(?i)(?<![0-9])[0-9]+(?:{_ANY_DOT}[0-9]+){{3}}")
 _IP_GATE = re.compile(rf"(?i)[0-9]\x20*(?:[\[({{<]\x20*(?:{_DOT_WORDS})\x20*[\])}}>]|\x20(?:dot|punkt|punto)\x20)\x20*[0-9]")
-_REACH = 160  # characters that a disguised address may span before and after its sign
+
+
+#: Look-alikes of one character, which change no place, and the invisible ones, which go.
+_SWAPS = {c: new for c, new in LOOK_ALIKES.items() if new}
+_HIDDEN = re.compile("[" + "".join(re.escape(chr(c)) for c, new in LOOK_ALIKES.items() if not new) + "]+")
+
+Edits = list[tuple[int, int, str]]  # start, end, what stands there instead; sorted and disjoint
 
 
 class Tape:
-    """A text with, for each character, the source places [start, end) that it stands for."""
+    """A text with, for each character, the source places [start, end) that it stands for; no arrays while they are its own places."""
 
-    def __init__(self, text: str, starts=None, ends=None):
-        self.text, self.starts, self.ends = text, starts or range(len(text)), ends or range(1, len(text) + 1)
+    def __init__(self, text: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None):
+        self.text, self.starts, self.ends = text, starts, ends
 
-    def rewritten(self, edits: list[tuple[int, int, str]]) -> Tape:
-        """edits: sorted, disjoint (start, end, new); new characters stand for the whole replaced piece."""
-        text, starts, ends, at = [], [], [], 0
+    def source(self, a: int, b: int) -> tuple[int, int]:
+        return (a, b) if self.starts is None else (int(self.starts[a]), int(self.ends[b - 1]))
+
+    def rewritten(self, edits: Edits) -> Tape:
+        """New characters stand for the whole replaced piece."""
+        if not edits:
+            return self
+        text, at = [], 0
         for a, b, new in edits:
             text += [self.text[at:a], new]
-            starts += [*self.starts[at:a], *[self.starts[a]] * len(new)]
-            ends += [*self.ends[at:a], *[self.ends[b - 1]] * len(new)]
             at = b
         text.append(self.text[at:])
-        return Tape("".join(text), [*starts, *self.starts[at:]], [*ends, *self.ends[at:]])
+        n = len(self.text)
+        begin, end = (np.fromiter((e[k] for e in edits), np.int64, len(edits)) for k in (0, 1))
+        size = np.fromiter((len(e[2]) for e in edits), np.int64, len(edits))
+        # Pieces in turn: kept, new, kept, new, ..., kept.
+        first, length, grows = np.empty(2 * len(edits) + 1, np.int64), np.empty(2 * len(edits) + 1, np.int64), np.ones(2 * len(edits) + 1, np.int64)
+        first[0::2], first[1::2] = np.r_[0, end], begin
+        length[0::2], length[1::2] = np.r_[begin, n] - np.r_[0, end], size
+        grows[1::2] = 0
+        offset = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        starts = np.repeat(first, length) + offset * np.repeat(grows, length)
+        final = np.zeros(2 * len(edits) + 1, np.int64)
+        final[1::2] = end - 1
+        ends = np.where(np.repeat(grows, length) == 1, starts, np.repeat(final, length))
+        if self.starts is None:
+            return Tape("".join(text), starts, ends + 1)
+        return Tape("".join(text), self.starts[starts], self.ends[ends])
 
 
 def _unmask_alike(t: Tape) -> Tape:
-    return t.rewritten([(m.start(), m.end(), LOOK_ALIKES[ord(m[0])]) for m in _ALIKE.finditer(t.text)]) if _ALIKE.search(t.text) else t
+    if not _ALIKE.search(t.text):
+        return t
+    seen = Tape(t.text.translate(_SWAPS), t.starts, t.ends)
+    return seen.rewritten([(m.start(), m.end(), "") for m in _HIDDEN.finditer(seen.text)])
 
 
 def _unmask_mail(t: Tape) -> Tape:
-    edits: list[tuple[int, int, str]] = []
-    done = 0
-    for gate in _MAIL_GATE.finditer(t.text):
-        if gate.start() < done:
-            continue
-        for m in _MAIL.finditer(t.text, max(done, gate.start() - _REACH), min(len(t.text), gate.end() + _REACH)):
-            sign = _MAIL_AT.search(t.text, m.start(), m.end())
-            pieces = [(sign.start(), sign.end(), "@")] + [(d.start(), d.end(), ".") for d in _MAIL_DOT.finditer(t.text, m.start(), m.end())]
-            edits += sorted(p for p in pieces if t.text[p[0] : p[1]] != p[2])
-            done = m.end()
-    return t.rewritten(edits) if edits else t
+    if not _MAIL_GATE.search(t.text):
+        return t
+    edits: Edits = []
+    for m in _MAIL.finditer(t.text):
+        sign = _MAIL_AT.search(t.text, m.start(), m.end())
+        pieces = [(sign.start(), sign.end(), "@")] + [(d.start(), d.end(), ".") for d in _MAIL_DOT.finditer(t.text, m.start(), m.end())]
+        edits += sorted(p for p in pieces if t.text[p[0] : p[1]] != p[2])
+    return t.rewritten(edits)
 
 
 def _unmask_ip(t: Tape) -> Tape:
     if not _IP_GATE.search(t.text):
         return t
-    edits = [(d.start(), d.end(), ".") for m in _IP_MASKED.finditer(t.text) for d in _MAIL_DOT.finditer(t.text, m.start(), m.end())]
-    return t.rewritten(edits) if edits else t
+    return t.rewritten([(d.start(), d.end(), ".") for m in _IP_MASKED.finditer(t.text) for d in _MAIL_DOT.finditer(t.text, m.start(), m.end())])
 
 
 def _unmask_digits(t: Tape) -> Tape:
     if not _SPELLED_GATE.search(t.text):
         return t
-    edits = []
+    edits: Edits = []
     for run in _SPELLED.finditer(t.text):
-        edits += [(m.start(), m.end(), "+" if m[1] else DIGIT_WORDS[m[2].lower()]) for m in _SPELLED_PART.finditer(t.text, run.start(), run.end())]
         last = None
-        for e in [*edits]:
+        for m in _SPELLED_PART.finditer(t.text, run.start(), run.end()):
             # Separators between two spelled digits go, so that a chain of them reads as one number.
-            if last and last[1] >= run.start() and not _DIGIT.sub("", t.text[last[1] : e[0]]) and not t.text[last[1] : e[0]].strip(" ,.-") and last[1] < e[0]:
-                edits.append((last[1], e[0], ""))
-            last = e
-    return t.rewritten(sorted(set(edits)))
+            if last is not None and last < m.start() and not t.text[last : m.start()].strip(" ,.-"):
+                edits.append((last, m.start(), ""))
+            edits.append((m.start(), m.end(), "+" if m[1] else DIGIT_WORDS[m[2].lower()]))
+            last = m.end()
+    return t.rewritten(edits)
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:
@@ -193,7 +218,7 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
         seen.setdefault(k, []).append((a, b))
     more = set()
     for a, k, b in detect(tape.text):
-        start, end = tape.starts[a], tape.ends[b - 1]
+        start, end = tape.source(a, b)
         if not _overlaps(seen.get(k, []), start, end):
             more.add((start, k, end))
     return base, sorted({*base, *more})
