@@ -6,8 +6,9 @@ labels: a rule is tried only if the words hold its keyword (any match does), eac
 stronger (or the same, longer or earlier) rule is suppressed. Rules come in three strengths: 0 for identifiers and whole
 sentences, 1 for "licensed under ..." statements, 2 for bare names.
 
-Nulls and empty texts have no words, no labels and score 0. Rows are judged alike if repeated; empty tables give empty
-results; other columns of the input are ignored.
+Of rules with the same interval the stronger one stays, then the one whose label comes first. Texts of any length are read whole, in
+time that grows with their length (times the logarithm of their matches). Nulls and empty texts have no words, no labels and score 0.
+Rows are judged alike if repeated; empty tables give empty results; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, text_of
+from .common import let, running, text_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -146,16 +147,15 @@ def _spaces(x: Column) -> Column:
 
 def word_places(norm: Column, pattern: Column) -> Column:
     """array<struct<start,end>>, in words, of a pattern's matches, each of which begins and ends at a word's edge."""
-    parts = F.arrays_zip(F.split(norm, pattern, -1).alias("gap"), F.regexp_extract_all(norm, pattern, F.lit(0)).alias("hit"))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-    # A gap of k spaces before a match starts at word `at` (after k - 1 words, or k for a gap that begins inside the text).
-    step = lambda acc, x: F.when(x["hit"].isNull(), acc).otherwise(
-        let(
-            acc["at"] + _spaces(x["gap"]),
-            lambda s: F.struct((s + _spaces(x["hit"])).alias("at"), F.concat(acc["out"], F.array(F.struct((s - 1).alias("start"), (s + _spaces(x["hit"])).alias("end")))).alias("out")),
-        )
-    )
-    return F.aggregate(parts, first, step, lambda acc: acc["out"])
+    gaps = F.transform(F.split(norm, pattern, -1), _spaces)
+    hits = F.transform(F.regexp_extract_all(norm, pattern, F.lit(0)), _spaces)
+
+    def summed(x: Column) -> Column:
+        # Each gap ends in the space before a match, so the spaces up to a match's end number its last word, counted from 1.
+        steps = F.transform(x["hits"], lambda n, i: F.get(x["gaps"], i) + n)
+        return let(running(steps, lambda a, b: a + b), lambda ends: F.transform(x["hits"], lambda n, i: F.struct((F.get(ends, i) - n - 1).alias("start"), F.get(ends, i).alias("end"))))
+
+    return let(F.struct(gaps.alias("gaps"), hits.alias("hits")), summed)
 
 
 def base_hits(norm: Column) -> Column:
@@ -178,16 +178,19 @@ def rule_hits(norm: Column) -> Column:
     open_ = F.filter(needed, lambda g: F.exists(g["keys"], lambda k: F.contains(norm, k)))
     live = F.filter(F.flatten(F.transform(open_, lambda g: g["rules"])), lambda r: F.rlike(norm, r["pattern"]))
     every = F.flatten(F.transform(live, lambda r: F.transform(word_places(norm, r["pattern"]), lambda h: F.struct(h["start"].alias("start"), (-h["end"]).alias("back"), r["strength"].alias("strength"), r["label"].alias("label")))))
-    # In order of start, longest first: a later interval lies inside an earlier one if that ends no sooner.
-    start = F.struct(F.array(*[F.lit(-1)] * STRENGTHS).alias("ends"), F.array().cast("array<struct<start:int,end:int,strength:int,label:string>>").alias("out"))
 
-    def step(acc: Column, h: Column) -> Column:
-        end = -h["back"]
-        inside = F.array_max(F.slice(acc["ends"], F.lit(1), h["strength"] + 1)) >= end
-        ends = F.transform(acc["ends"], lambda e, i: F.when(i == h["strength"], F.greatest(e, end)).otherwise(e))
-        return F.struct(ends.alias("ends"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(h["start"].alias("start"), end.alias("end"), h["strength"].alias("strength"), h["label"].alias("label"))))).alias("out"))
+    def unsuppressed(hits: Column) -> Column:
+        """In order of start, longest first, an interval lies inside an earlier one of no lesser strength if one of those ends no sooner."""
+        reach = F.struct(*[running(F.transform(hits, lambda h: F.when(h["strength"] <= k, -h["back"])), F.greatest).alias(f"r{k}") for k in range(STRENGTHS)])
+
+        def kept(r: Column) -> Column:
+            before = lambda h, i: F.coalesce(*[F.when(h["strength"] == k, F.get(r[f"r{k}"], i - 1)) for k in range(STRENGTHS)], F.lit(-1))
+            free = F.filter(hits, lambda h, i: before(h, i) < -h["back"])
+            return F.transform(free, lambda h: F.struct(h["start"].alias("start"), (-h["back"]).alias("end"), h["strength"].alias("strength"), h["label"].alias("label")))
+
+        return let(reach, kept)
 
-    return F.aggregate(F.sort_array(every), start, step, lambda acc: acc["out"])
+    return let(F.sort_array(every), unsuppressed)
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
