@@ -11,12 +11,17 @@ hashes; one with fewer words has its whole sequence as its only shingle. Two doc
 3. In each band bucket the class that meets most others in its buckets is the centre. Classes are compared with the centres of their
    buckets, a linear number of pairs; sketches screen them, full sets decide, and linked ones are united.
 4. Classes that share a bucket but no component yet, other than those of the bucket's main component among themselves, are
-   then compared too, again by sketch and full set. So each pair of classes that shares a bucket is either compared or known
-   to be connected, and no bucket is capped.
+   then compared too, again by sketch and full set. Where a bucket has at most ``FEW`` classes outside its main component, they meet
+   its other classes, a linear number of pairs. The classes of all other buckets are joined by rare shingles: two sets that are
+   linked share one of the least frequent shingles of either, a prefix of 1 - ``percent`` / 100 of the set, so texts of one template
+   whose own parts differ never meet. No bucket is capped, and each pair of classes that shares one is compared, known to be
+   connected, or ruled out by its prefixes.
 
-Two classes at the threshold share no band with a chance below 1e-5, and the sketch screens at five standard deviations. Components come from repeated contraction of links to smaller ids, all in DataFrames.
+Two classes at the threshold share no band with a chance below 1e-5, and the sketch screens at five standard deviations. Components come from
+repeated contraction of links to smaller ids, all in DataFrames. Sets in which all but a few shingles are common to thousands of texts, just
+below the threshold, still meet in step 4 and are told apart by sketches within the join.
 
-Nulls, empty texts and texts without words have empty sets, are linked with nothing and stay. Repeated rows fall in one class;
+Texts of any length are signed whole. Nulls, empty texts and texts without words have empty sets, are linked with nothing and stay. Repeated rows fall in one class;
 rows that also repeat a doc_id each come back. Rows whose doc_id is null come back unlinked. Other columns are ignored.
 """
 
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_ids, remove, stage
@@ -37,6 +42,8 @@ VALUES = 252
 SKETCH_LONGS = 16
 PARITY_LONGS = 64
 ROWS_AT_ONCE = 500
+#: Classes outside its main component that a bucket may have and still compare them with all others.
+FEW = 64
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -180,20 +187,36 @@ def side(signs: DataFrame, c: str) -> DataFrame:
     return signs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"), F.col("parity").alias(f"p_{c}"))
 
 
-def confirm(pairs: DataFrame, two: DataFrame, width: int, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, two: DataFrame, width: int, percent: int, made: list[str]) -> DataFrame:
     """The pairs (a, b) whose full sets pass; only texts in pairs are read again."""
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids", made)
     sets = sets_of(by_ids(two, two["doc_id"], ids, "left_semi"), width)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(common * 100 >= (F.size("x") + F.size("y") - common) * percent).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def prefix_pairs(two: DataFrame, members: DataFrame, signs: DataFrame, width: int, percent: int, made: list[str]) -> DataFrame:
+    """Pairs (a, b) of ``members`` (id, root) with different roots that share a shingle of both prefixes, and that sizes and sketches let pass.
+
+    A prefix is a set's least frequent shingles (by their number of members), one more than a linked set may lack.
+    """
+    sets = sets_of(by_ids(two, two["doc_id"], members.select("id"), "left_semi"), width)
+    each = stage(sets.select("doc_id", F.xxhash64("items").alias("key"), F.size("items").alias("size"), F.explode("items").alias("item")), "shingles", made)
+    often = each.groupBy("item").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("doc_id", "key").orderBy("often", "item")
+    lack = F.col("size") - F.ceil(F.col("size") * percent / 100)
+    prefix = each.join(often, "item").withColumn("at", F.row_number().over(order)).filter((F.col("at") <= lack + 1) & (F.col("often") > 1)).select("item", F.col("doc_id").alias("id"))
+    prefix = stage(prefix.distinct().join(members, "id"), "prefixes", made)
+    a, b = (prefix.select("item", F.col("id").alias(c), F.col("root").alias(f"root_{c}")).join(side(signs, c), c) for c in ("a", "b"))
+    return a.join(b, (a["item"] == b["item"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & may_link(percent)).select("a", "b").distinct()
+
+
+def components(links: DataFrame, kept: list[str] | None = None) -> DataFrame:
     """(id, root) of every id in ``links`` (a, b): the least id that it reaches.
 
     Each round points ids at their least smaller neighbour, follows the pointers to their ends by doubling, and contracts.
-    Both levels shrink at least by half a round, so the rounds are logarithmic in a component's size.
+    Both levels shrink at least by half a round, so the rounds are logarithmic in a component's size. ``kept`` collects the path of the result.
     """
     made: list[str] = []
     edges = stage(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", made)
@@ -211,16 +234,15 @@ def components(links: DataFrame) -> DataFrame:
         at = lambda c: parent.select(F.col("id").alias(c), F.col("to").alias(f"{c}_to"))
         moved = edges.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("a_to", "a").alias("a"), F.coalesce("b_to", "b").alias("b"))
         edges = stage(moved.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", made)
-    out = stage(root, "components")
-    for path in made:
-        remove(spark, path)
+    out = stage(root, "components", kept)
+    remove(spark, *made)
     return out
 
 
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, kept."""
     two, made = _as(docs, id_col, text_col), []
-    every = stage(signed(two, width, percent), "signs")
+    every = stage(signed(two, width, percent), "signs", made)
     first = stage(every.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes", made)
     # A doc_id that is repeated with another text has several sets; each may represent a class.
     signs = stage(every.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").drop("set_key"), "representatives", made)
@@ -234,30 +256,38 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
     centre = stage(weighed.groupBy("bucket").agg(F.min_by("doc_id", F.struct(-F.col("weight"), F.col("doc_id"))).alias("centre")), "centres", made)
     near = shared.select("doc_id", "bucket").join(centre, "bucket").filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
     near = stage(near, "near", made)
-    links = stage(confirm(stage(screened(near, signs, percent), "screened", made), two, width, percent), "links", made)
-    known = components(links)
+    links = stage(confirm(stage(screened(near, signs, percent), "screened", made), two, width, percent, made), "links", made)
+    known = components(links, made)
 
-    # What shares a bucket with others of another component.
-    placed = shared.select("doc_id", "bucket").join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = stage(sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1"), "mains", made)
-    mixed = stage(placed.join(main.select("bucket", "main"), "bucket"), "mixed", made)
-    rest = mixed.filter("root <> main").select(F.col("doc_id").alias("a"), "bucket", F.col("root").alias("root_a"), "main")
-    others = mixed.select(F.col("doc_id").alias("b"), "bucket", F.col("root").alias("root_b"))
-    wide, wide_b = rest.join(side(signs, "a"), "a"), others.join(side(signs, "b"), "b")
-    once = (F.col("root_b") == F.col("main")) | (F.col("root_a") < F.col("root_b"))
-    left = wide.join(wide_b, (wide["bucket"] == wide_b["bucket"]) & (F.col("root_a") != F.col("root_b")) & once & may_link(percent)).select("a", "b").distinct()
-    left = stage(left.join(near, (left["a"] == near["a"]) & (left["b"] == near["b"]), "left_anti"), "late", made)
+    left = stage(late(two, signs, shared, known, width, percent, made).join(near, ["a", "b"], "left_anti"), "late", made)
     if not left.isEmpty():
-        links = stage(links.unionByName(confirm(left, two, width, percent)), "links", made)
-        known = components(links)
+        links = stage(links.unionByName(confirm(left, two, width, percent, made)), "links", made)
+        known = components(links, made)
 
-    member = stage(first.join(known.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component")), "members")
-    for path in made:
-        remove(docs.sparkSession, path)
+    member = first.join(known.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component"))
     out = every.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(member, "set_key", "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    out = stage(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")), "found")
+    remove(docs.sparkSession, *made)
+    return out
+
+
+def late(two: DataFrame, signs: DataFrame, shared: DataFrame, known: DataFrame, width: int, percent: int, made: list[str]) -> DataFrame:
+    """Pairs (a, b) of classes that share a bucket with others of another component, and that sizes and sketches let pass."""
+    placed = shared.select("doc_id", "bucket").join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), (F.sum("n") - F.max("n")).alias("outside")).filter("roots > 1")
+    mixed = stage(placed.join(stage(main, "mains", made).select("bucket", "main", "outside"), "bucket"), "mixed", made)
+    small = mixed.filter(F.col("outside") <= FEW)
+    rest = small.filter("root <> main").select(F.col("doc_id").alias("a"), "bucket", F.col("root").alias("root_a"), "main")
+    others = small.select(F.col("doc_id").alias("b"), "bucket", F.col("root").alias("root_b"))
+    wide, wide_b = rest.join(side(signs, "a"), "a"), others.join(side(signs, "b"), "b")
+    once = (F.col("root_b") == F.col("main")) | (F.col("root_a") < F.col("root_b"))
+    found = wide.join(wide_b, (wide["bucket"] == wide_b["bucket"]) & (F.col("root_a") != F.col("root_b")) & once & may_link(percent)).select("a", "b")
+    large = stage(mixed.filter(F.col("outside") > FEW).select(F.col("doc_id").alias("id"), "root").distinct(), "large", made)
+    if not large.isEmpty():
+        found = found.unionByName(prefix_pairs(two, large, signs, width, percent, made))
+    return found.distinct()
 
 
 def screened(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
