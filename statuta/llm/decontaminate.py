@@ -8,10 +8,12 @@ a score, 1.0 for a whole verbatim copy. Reported are pairs that reach ``MIN_SCOR
 or ``SHORT_SCORE`` with ``SHORT_SHARE`` of the words of a shorter item.
 
 The benchmark's index goes to the tasks in blocks of at most ``BLOCK_CHARS`` characters (an item longer than that is a block of
-its own); a benchmark of any size is covered, one pair of scans of the documents a block.
+its own); a benchmark of any size is covered, one pair of scans of the documents a block. Items of equal text are looked for once and
+reported each.
 
-Null or empty documents and items without words match nothing. Repeated documents are each reported, equal items too. Empty
-tables give an empty result. Rows without an id are ignored on either side, and so are other columns.
+Texts of any length are read whole: windows are aligned in overlapping pieces. Of places with equal scores the one with more matching words
+is reported, then the first. Null or empty documents and items without words match nothing. Repeated documents are each reported, equal
+items too. Empty tables give an empty result. Rows without an id are ignored on either side, and so are other columns.
 """
 
 from __future__ import annotations
@@ -37,6 +39,10 @@ MIN_SCORE, MIN_WORDS = 0.3, 8
 #: Items too short for MIN_WORDS need this share of their words, and a higher score.
 SHORT_SHARE, SHORT_SCORE = 0.7, 0.5
 BLOCK_CHARS = 4_000_000
+#: Seed hits of a document that are expanded to items at once.
+HITS_AT_ONCE = 2_000_000
+#: Items of fewer words are reported, but no document goes for them: their words are in clean texts too.
+LEAST_ITEM_WORDS = 5
 _BREAKS = bytes.maketrans(bytes(b for b in range(128) if not chr(b).isalnum()), b" " * sum(not chr(b).isalnum() for b in range(128)))
 
 
@@ -102,6 +108,9 @@ class Index:
         self.first = np.searchsorted(self.key, self.grams)
         self.last = np.searchsorted(self.key, self.grams, "right")
         self.need = np.minimum(np.bincount(self.item, minlength=len(self.items)), SEEDS_TOGETHER)
+        self.size = np.fromiter(map(len, self.items), np.int64, len(self.items))
+        # Seeds stand in order of n-gram and item, so those of an n-gram and a range of items are found by bisection.
+        self.rank = np.searchsorted(self.grams, self.key) * (len(self.items) + 1) + self.item
         return self
 
 
@@ -135,34 +144,52 @@ def passages(index: Index, text: str | None) -> list[tuple[int, float, int, int,
     where, gram = index.hits(x, index.grams)
     if not len(where):
         return []
-    spans: dict[int, list[tuple[int, int, int]]] = {}
-    for p, g in zip(where.tolist(), gram.tolist(), strict=True):
-        for s in range(index.first[g], index.last[g]):
-            n, at = int(index.item[s]), int(index.at[s])
-            size = len(index.items[n])
-            spans.setdefault(n, []).append((max(0, p - at - size // 2 - 8), min(len(x), p - at + size + size // 2 + 8), at))
+    out, n_items = [], len(index.items)
+    expanded = int((index.last[gram] - index.first[gram]).sum())
+    step = max(1, n_items * HITS_AT_ONCE // max(expanded, HITS_AT_ONCE))
+    for low in range(0, n_items, step):
+        first, last = (np.searchsorted(index.rank, gram * (n_items + 1) + k) for k in (low, min(n_items, low + step)))
+        times = last - first
+        if not times.any():
+            continue
+        seed = np.repeat(first - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        out += _of_items(index, x, np.repeat(where, times), index.item[seed], index.at[seed])
+    return out
+
+
+def _of_items(index: Index, x: np.ndarray, place: np.ndarray, item: np.ndarray, at: np.ndarray) -> list[tuple[int, float, int, int, int]]:
+    """The items found by seeds at ``place`` of the text, which stand at ``at`` in ``item``."""
+    size = index.size[item]
+    longest = int(index.size.max()) + 1
+    pairs = np.unique(item * longest + at) // longest
+    enough = np.bincount(pairs, minlength=len(index.items)) >= index.need
+    keep = enough[item]
+    place, item, at, size = place[keep], item[keep], at[keep], size[keep]
+    begin = np.maximum(0, place - at - size // 2 - 8)
+    end = np.minimum(len(x), place - at + size + size // 2 + 8)
+    order = np.lexsort((at, end, begin, item))
     out = []
-    for n, all_ in spans.items():
-        if len({at for *_, at in all_}) < index.need[n]:
+    for part in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
+        if not len(part):
             continue
-        merged: list[list] = []
-        for a, b, at in sorted(all_):
+        n, merged = int(item[part[0]]), []
+        for a, b, k in zip(begin[part].tolist(), end[part].tolist(), at[part].tolist(), strict=True):
             if merged and a <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], b)
-                merged[-1][2].add(at)
+                merged[-1][2].add(k)
             else:
-                merged.append([a, b, {at}])
-        item, best = index.items[n], (0, 0, 0, 0)
+                merged.append([a, b, {k}])
+        own, best = index.items[n], (0, 0, 0, 0)
         for a, b, seen in merged:
             if len(seen) < index.need[n]:
                 continue
             # A merged window may be as long as the text: it is aligned in overlapping pieces, so memory is bounded.
-            step = max(4096, 4 * len(item))
-            for at in range(a, max(a + 1, b - 2 * len(item)), step):
-                s, m, i, j = align(item, x[at : min(b, at + step + 2 * len(item))])
-                best = max(best, (s, m, -(i + at), j + at))
-        score = best[0] / (MATCH * len(item))
-        least = min(MIN_WORDS, ceil(SHORT_SHARE * len(item)))
+            step = max(4096, 4 * len(own))
+            for p in range(a, max(a + 1, b - 2 * len(own)), step):
+                s, m, i, j = align(own, x[p : min(b, p + step + 2 * len(own))])
+                best = max(best, (s, m, -(i + p), j + p))
+        score = best[0] / (MATCH * len(own))
+        least = min(MIN_WORDS, ceil(SHORT_SHARE * len(own)))
         if score >= (MIN_SCORE if best[1] >= MIN_WORDS else SHORT_SCORE) and best[1] >= least:
             out.append((n, score, best[1], -best[2], best[3]))
     return out
@@ -171,18 +198,18 @@ def passages(index: Index, text: str | None) -> list[tuple[int, float, int, int,
 SCHEMA = "doc_id long, item_id long, score double, n_matches long, start_word long, end_word long"
 
 
-def _blocks(bench: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of at most BLOCK_CHARS characters; sizes are summed before anything is fetched."""
-    size = F.coalesce(F.length("text"), F.lit(0)) + 64
-    n, most = 1, None
-    while most is None or (most["chars"] > BLOCK_CHARS and most["items"] > 1):
-        n = n if most is None else n * 2
-        sums = bench.groupBy(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).alias("block")).agg(F.sum(size).alias("chars"), F.count("*").alias("items"))
-        most = sums.orderBy(F.desc((F.col("items") > 1) & (F.col("chars") > BLOCK_CHARS)), F.desc("chars")).first() or {"chars": 0, "items": 0}
-        if n > 1 and bench.select("item_id", "text").distinct().count() < n // 8:
-            break  # only equal items are left together
+def _blocks(texts: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """Different texts (item_id, text) in blocks of at most BLOCK_CHARS characters; sizes are summed before anything is fetched."""
+    size = F.length("text") + 64
+    n = 1
+    while True:
+        block = F.pmod(F.xxhash64("text"), F.lit(n))
+        sums = texts.groupBy(block.alias("block")).agg(F.sum(size).alias("chars"), F.count("*").alias("items"))
+        if sums.filter((F.col("items") > 1) & (F.col("chars") > BLOCK_CHARS)).isEmpty():
+            break
+        n *= 2
     for k in range(n):
-        rows = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
+        rows = texts.filter(block == k).orderBy("item_id").collect()
         if rows:
             yield [(r["item_id"], r["text"]) for r in rows]
 
@@ -192,8 +219,13 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
     spark = docs.sparkSession
     two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
     items = bench.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).filter("item_id IS NOT NULL")
+    # Equal texts are looked for once, under the least of their ids; others follow by the text's digest.
+    named = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
+    texts = named.groupBy("text").agg(F.min("item_id").alias("item_id"))
+    same = named.select("item_id", F.sha2("text", 256).alias("of")).distinct()
+    members = same.join(texts.select(F.col("item_id").alias("found"), F.sha2("text", 256).alias("of")), "of").select("found", "item_id")
     out = spark.createDataFrame([], SCHEMA)
-    for block in _blocks(items):
+    for block in _blocks(texts):
         index = Index(block)
         every = spark.sparkContext.broadcast(index)
 
@@ -224,10 +256,11 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
         out = out.unionByName(two.mapInArrow(find, SCHEMA))
-    return out
+    return out.withColumnRenamed("item_id", "found").join(members, "found").select("doc_id", "item_id", "score", "n_matches", "start_word", "end_word")
 
 
-def keep_clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that hold no benchmark item, columns unchanged."""
-    gone = stage(contaminated(docs, bench, id_col, text_col).select(F.col("doc_id").alias("id")).distinct(), "contaminated")
+def keep_clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_ITEM_WORDS) -> DataFrame:
+    """The documents that hold no benchmark item of ``least_words`` words or more, columns unchanged."""
+    long = bench.filter(F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))) >= least_words)
+    gone = stage(contaminated(docs, long, id_col, text_col).select(F.col("doc_id").alias("id")).distinct(), "contaminated")
     return by_ids(docs, docs[id_col].cast("long"), gone, "left_anti")
