@@ -10,7 +10,8 @@ dictionaries have not seen.
 Telling passages are the parts of words covered by byte sequences (of any of the lengths ``GRAMS``) that are ``LIFT`` times as rare in ordinary
 documents as in toxic ones, by a likelihood ratio of ``EVIDENCE``; all of them are trained on, and
 those that training leaves out are added. Copies in the sample count once. The
-sample is bounded: at most ``2 * SAMPLE`` documents of each label, those of least hash; labels come only from rows outside the held-out fifth.
+sample is bounded: at most ``2 * SAMPLE`` documents of each label, those of least hash, with at most ``SAMPLE_CHARS`` characters each; labels
+come only from rows outside the held-out fifth. Every text is scored whole, whatever its length.
 
 Null and empty texts have no windows and get the score of all-zero features. Without both labels in the sample, every score is 0. Repeated
 rows score alike, an empty table gives an empty result, other columns are never read.
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 5
 SAMPLE = 1500
+SAMPLE_CHARS = 20_000
 GRAMS, LIFT, EVIDENCE = range(5, 33), 12.0, 24.0
 DICTIONARY_BYTES, PIECES = 32768, 8
 LEVEL = 3
@@ -130,7 +132,7 @@ class Model:
         plain, toxic = self._compressors()
         d = np.array([len(plain(w)) - len(toxic(w)) for w in windows(text)] or [0.0])
         top = np.sort(d)[::-1]
-        return np.array([top[0], top[:2].sum(), top[:4].sum(), d.mean(), (d >= 4).mean(), np.log1p(len(d))])
+        return np.array([top[0], top[:2].sum(), top[:4].sum(), d.mean(), (d >= 4).mean()])
 
     def score(self, text: str | None) -> float:
         if not self.weights:
@@ -197,13 +199,14 @@ def fit(rows: list[tuple[str, int, int]]) -> Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int, int]]:
-    """At most 4 * SAMPLE rows (text, toxic, part) outside the held-out fold, by least hash of the id."""
+    """At most 4 * SAMPLE rows (text, toxic, part) outside the held-out fold, by least hash of the id; a text each, of at most SAMPLE_CHARS
+    characters, so what reaches the driver is bounded in bytes too."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).filter(~held_out(F.col("doc_id")))
     h = F.xxhash64(F.col("doc_id"))
     ids = [known.filter(F.col("toxic") == x).orderBy(h, "doc_id").limit(2 * SAMPLE) for x in (0, 1)]
     ids = ids[0].unionByName(ids[1])
-    texts = docs.join(F.broadcast(ids), "doc_id").select("text", "toxic", (F.pmod(F.shiftright(h, 20), F.lit(3)) == 0).cast("int").alias("part"))
-    return [tuple(r) for r in texts.orderBy("doc_id", "text").collect()]
+    texts = docs.filter(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return [tuple(r) for r in texts.select("doc_id", "text", "toxic", (F.pmod(F.shiftright(h, 20), F.lit(3)) == 0).cast("int").alias("part")).orderBy("doc_id").drop("doc_id").collect()]
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
