@@ -97,7 +97,7 @@ def battery(token: Column) -> Column:
         total = F.aggregate(x, zero, lambda q, v: q + v)
         square = F.aggregate(x, zero, lambda q, v: q + v * v)
         lagged = F.aggregate(F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x)), lambda u, v: u * v), zero, lambda q, v: q + F.coalesce(v, zero))
-        return let(F.struct(squares.alias("squares"), high.alias("high"), turns.alias("turns"), total.alias("total"), square.alias("square"), lagged.alias("lagged"), n.alias("n"), k.alias("k"), a["e"].alias("e")), results)
+        return let(F.struct(squares.alias("squares"), high.alias("high"), turns.alias("turns"), total.alias("total"), square.alias("square"), lagged.alias("lagged"), (F.get(x, 0) + F.get(x, F.size(x) - 1)).alias("ends"), n.alias("n"), k.alias("k"), a["e"].alias("e")), results)
 
     def results(m: Column) -> Column:
         n, k, high = m["n"], m["k"], m["high"]
@@ -106,8 +106,8 @@ def battery(token: Column) -> Column:
         mean = 2 * high * low / n + 1
         spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
         runs = F.when((high < 1) | (low < 1), F.lit(1e-15)).otherwise(2 * normal_tail(F.abs(m["turns"] - mean) / spread))
-        centred = m["total"] * m["total"] / n
-        r = (m["lagged"] - centred * (n - 1) / n) / F.greatest(m["square"] - centred, F.lit(1e-9))
+        middle = m["total"] / n
+        r = (m["lagged"] - (n + 1) * middle * middle + middle * m["ends"]) / F.greatest(m["square"] - n * middle * middle, F.lit(1e-9))
         serial = 2 * normal_tail(F.abs(r * F.sqrt(n) + 1 / F.sqrt(n)))
         clip = lambda p: F.least(F.greatest(p, F.lit(1e-15)), F.lit(1.0))
         return let(F.struct(clip(uniform).alias("u"), clip(runs).alias("r"), clip(serial).alias("s"), n.alias("n"), m["e"].alias("e")), joined)
