@@ -13,13 +13,13 @@ hashes; one with fewer words has its whole sequence as its only shingle. Two doc
 4. Classes that share a bucket but no component yet, other than those of the bucket's main component among themselves, are
    then compared too, again by sketch and full set. Where a bucket has at most ``FEW`` classes outside its main component, they meet
    its other classes, a linear number of pairs. The classes of all other buckets are joined by rare shingles: two sets that are
-   linked share one of the least frequent shingles of either, a prefix of 1 - ``percent`` / 100 of the set, so texts of one template
-   whose own parts differ never meet. No bucket is capped, and each pair of classes that shares one is compared, known to be
+   linked share one of the least frequent shingles of either, a prefix of 1 - ``percent`` / 100 of the set, with enough places after it
+   in both, so texts of one template whose own parts differ make no pair. No bucket is capped, and each pair of classes that shares one is compared, known to be
    connected, or ruled out by its prefixes.
 
 Two classes at the threshold share no band with a chance below 1e-5, and the sketch screens at five standard deviations. Components come from
-repeated contraction of links to smaller ids, all in DataFrames. Sets in which all but a few shingles are common to thousands of texts, just
-below the threshold, still meet in step 4 and are told apart by sketches within the join.
+repeated contraction of links to smaller ids, all in DataFrames. Sets just below the threshold whose differing shingles are themselves shared by
+thousands of texts still make pairs in step 4, of two ids each, which sketches tell apart.
 
 Texts of any length are signed whole. Nulls, empty texts and texts without words have empty sets, are linked with nothing and stay. Repeated rows fall in one class;
 rows that also repeat a doc_id each come back. Rows whose doc_id is null come back unlinked. Other columns are ignored.
@@ -199,17 +199,27 @@ def confirm(pairs: DataFrame, two: DataFrame, width: int, percent: int, made: li
 def prefix_pairs(two: DataFrame, members: DataFrame, signs: DataFrame, width: int, percent: int, made: list[str]) -> DataFrame:
     """Pairs (a, b) of ``members`` (id, root) with different roots that share a shingle of both prefixes, and that sizes and sketches let pass.
 
-    A prefix is a set's least frequent shingles (by their number of members), one more than a linked set may lack.
+    A prefix is a set's least frequent shingles (by their number of members), one more than a linked set may lack. Of two linked sets of x >= y shingles,
+    at least percent * (x + y) / (100 + percent) are common, and none comes before the first of them: it leaves as many places in either set. Ids, sizes and
+    places alone are joined, so a shingle that thousands of sets hold late in their prefixes costs them no sketches; the few pairs left are screened by those.
     """
     sets = sets_of(by_ids(two, two["doc_id"], members.select("id"), "left_semi"), width)
-    each = stage(sets.select("doc_id", F.xxhash64("items").alias("key"), F.size("items").alias("size"), F.explode("items").alias("item")), "shingles", made)
+    each = stage(sets.select("doc_id", F.xxhash64("items").alias("key"), F.size("items").cast("long").alias("n"), F.explode("items").alias("item")), "shingles", made)
     often = each.groupBy("item").agg(F.count("*").alias("often"))
+    # A row that is repeated, doc_id and all, repeats its shingles: equal ones take one place.
     order = Window.partitionBy("doc_id", "key").orderBy("often", "item")
-    lack = F.col("size") - F.ceil(F.col("size") * percent / 100)
-    prefix = each.join(often, "item").withColumn("at", F.row_number().over(order)).filter((F.col("at") <= lack + 1) & (F.col("often") > 1)).select("item", F.col("doc_id").alias("id"))
+    placed = each.join(often, "item").withColumn("left", F.col("n") - F.dense_rank().over(order) + 1)
+    prefix = placed.filter((F.col("left") * 100 >= F.col("n") * percent) & (F.col("often") > 1)).select("item", F.col("doc_id").alias("id"), "n", "left")
     prefix = stage(prefix.distinct().join(members, "id"), "prefixes", made)
-    a, b = (prefix.select("item", F.col("id").alias(c), F.col("root").alias(f"root_{c}")).join(side(signs, c), c) for c in ("a", "b"))
-    return a.join(b, (a["item"] == b["item"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & may_link(percent)).select("a", "b").distinct()
+    y, x = (prefix.select("item", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "root", "n", "left")]) for k in "yx")
+    # The smaller set's prefix is shorter: the other has no fewer shingles.
+    y = y.filter(F.col("left_y") * (100 + percent) >= 2 * percent * F.col("n_y"))
+    once = (F.col("n_y") < F.col("n_x")) | ((F.col("n_y") == F.col("n_x")) & (F.col("id_y") < F.col("id_x")))
+    sizes = F.col("n_y") * 100 >= F.col("n_x") * percent
+    enough = F.least("left_y", "left_x") * (100 + percent) >= (F.col("n_y") + F.col("n_x")) * percent
+    met = y.join(x, (y["item"] == x["item"]) & (F.col("root_y") != F.col("root_x")) & once & sizes & enough)
+    pairs = met.select(F.least("id_y", "id_x").alias("a"), F.greatest("id_y", "id_x").alias("b")).distinct()
+    return screened(stage(pairs, "met", made), signs, percent)
 
 
 def components(links: DataFrame, kept: list[str] | None = None) -> DataFrame:

@@ -685,6 +685,55 @@ def test_near_duplicates_by_prefixes_equal_brute_force(spark, monkeypatch):
     assert {i: (x["n_shingles"], x["component_id"]) for i, x in got.items()} == brute_components(rows, 3, 85)
 
 
+def _prefix_pairs(spark, monkeypatch, rows, width, percent, roots=None):
+    """Pairs that the rare-shingle join finds, and how many it made before sketches."""
+    two, met = docs(spark, rows).select("doc_id", "text"), []
+    members = spark.createDataFrame([(i, (roots or {}).get(i, i)) for i in {i for i, _ in rows}], "id long, root long")
+    monkeypatch.setattr(neardup, "stage", lambda df, name, made=None, old=neardup.stage: met.append(df.count()) or old(df, name, made) if name == "met" else old(df, name, made))
+    got = neardup.prefix_pairs(two, members, neardup.signed(two, width, percent).distinct(), width, percent, []).collect()
+    return {(x["a"], x["b"]) for x in got}, met[0]
+
+
+def test_near_copies_of_one_text_make_few_pairs(spark, monkeypatch):
+    """Hundreds of near copies share their common shingles, some linked to the original and the others linked with nothing."""
+    r = random.Random(21)
+    base = [f"t{i}" for i in range(150)]
+    rows, roots = [(0, " ".join(base))], {0: 0}
+    for i in range(1, 301):
+        w, edits = base[:], 2 if i <= 200 else 4
+        for n, at in enumerate(r.sample(range(5, 145, 10), edits)):
+            w[at] = f"own{i}x{n}"
+        rows.append((i, " ".join(w)))
+        roots[i] = 0 if edits == 2 else i
+    found, met = _prefix_pairs(spark, monkeypatch, rows, 5, 80, roots)
+    assert met <= len(rows) and all(brute_components([rows[a], rows[b]], 5, 80)[b][1] == b for a, b in found)
+
+
+@pytest.mark.parametrize("width, percent", [(2, 60), (5, 80), (3, 85)])
+def test_rare_shingles_lose_no_link_of_different_sizes(spark, monkeypatch, width, percent):
+    r = random.Random(percent)
+    words, rows = [f"w{i}" for i in range(200)], []
+    for g in range(4):
+        base = [r.choice(words) for _ in range(90)]
+        for c in range(20):
+            w = base[: r.choice([90, 90, 84, 78, 60])] + [r.choice(words) for _ in range(r.choice([0, 0, 3, 9]))]
+            for _ in range(r.choice([0, 1, 2, 3])):
+                w[r.randrange(len(w))] = r.choice(words)
+            rows.append((g * 100 + c, " ".join(w)))
+    sets = {i: set(neardup.shingles(t, width).tolist()) for i, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    found, _ = _prefix_pairs(spark, monkeypatch, rows, width, percent)
+    assert want and want <= found
+
+
+def test_rare_shingles_of_a_repeated_row(spark, monkeypatch):
+    """A row that stands twice has its shingles once: half a prefix would end before the first common one."""
+    common = [f"c{i}" for i in range(89)]
+    rows = [(1, " ".join(common + [f"x{i}" for i in range(11)]))] * 2 + [(2, " ".join(common + [f"y{i}" for i in range(11)]))]
+    found, _ = _prefix_pairs(spark, monkeypatch, rows, 1, 80)
+    assert found == {(1, 2)}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 400)], "a long, b long")
     assert {(x["id"], x["root"]) for x in neardup.components(links).collect()} == {(i, 0) for i in range(201)} | {(400, 400), (500, 400)}
